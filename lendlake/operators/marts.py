@@ -57,7 +57,7 @@ def payments_per_installment(payments: DataFrame) -> DataFrame:
         payments.where("is_valid")
         .groupBy("installment_id")
         .agg(
-            F.sum("payment_amount").alias("total_paid"),
+            F.sum("payment_amount").cast(K.MONEY_SUM).alias("total_paid"),
             F.max("payment_date").alias("last_payment_date"),
             F.count(F.lit(1)).alias("num_payments"),
         )
