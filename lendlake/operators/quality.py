@@ -133,8 +133,7 @@ def loan_controls(loans: DataFrame, customers: DataFrame) -> DataFrame:
 
 def installment_controls(installments: DataFrame, loans: DataFrame) -> DataFrame:
     """C05 (foreign key) and C06 (number within term) in one pass."""
-    terms = one_per_key(loans.withColumn("_has_loan", F.lit(True)), "loan_id",
-                        ["_has_loan", "term_months"])
+    terms = one_per_key(loans, "loan_id", ["term_months"]).withColumn("_has_loan", F.lit(True))
     j = installments.join(terms, "loan_id", "left")
     agg = j.agg(
         count_if(F.col("_has_loan").isNull()).alias("C05"),
@@ -146,8 +145,11 @@ def installment_controls(installments: DataFrame, loans: DataFrame) -> DataFrame
 
 def payment_controls(payments: DataFrame, installments: DataFrame) -> DataFrame:
     """C07-C11 in one pass over payments joined to their installment."""
-    inst = one_per_key(installments.withColumn("_has_inst", F.lit(True)), "installment_id",
-                       ["_has_inst", "loan_id"]).withColumnRenamed("loan_id", "_inst_loan")
+    inst = (
+        one_per_key(installments, "installment_id", ["loan_id"])
+        .withColumnRenamed("loan_id", "_inst_loan")
+        .withColumn("_has_inst", F.lit(True))
+    )
     j = payments.join(inst, "installment_id", "left")
     status = clean_upper("payment_status")
     agg = j.agg(

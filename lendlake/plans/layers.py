@@ -7,13 +7,17 @@ an action. ``plans.materialize`` writes the layers in dependency order.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+import posixpath
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from lendlake import constants as K
 from lendlake.operators import marts, staging
+from lendlake.session import checkpoint_dir
 from lendlake.sources.raw import RawInputs
 
 
@@ -25,12 +29,44 @@ class Settings:
     segments: Sequence[str] = field(default=K.SEGMENTS)
 
 
-@dataclass(frozen=True)
 class Staged:
-    customers: DataFrame
-    loans: DataFrame
-    installments: DataFrame
-    payments: DataFrame
+    """A1-A5, each built on first use from the layer before it.
+
+    ``persist`` (optional) is applied to the layers that join to their parent
+    (loans, installments, payments): every later consumer then reads the
+    stored rows instead of re-running the lookup joins in each branch of its
+    plan, as the source pipeline does with its staging tables.
+    """
+
+    def __init__(
+        self,
+        raw: RawInputs,
+        settings: Settings = Settings(),
+        persist: Callable[[str, DataFrame], DataFrame] | None = None,
+    ):
+        self.raw = raw
+        self.settings = settings
+        self._persist = persist or (lambda name, df: df)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return staging.stg_customers(self.raw.customers, self.settings.segments)
+
+    @cached_property
+    def loans(self) -> DataFrame:
+        return self._persist("stg_loans", staging.stg_loans(self.raw.loans, self.customers))
+
+    @cached_property
+    def installments(self) -> DataFrame:
+        return self._persist(
+            "stg_installments", staging.stg_installments(self.raw.installments, self.loans)
+        )
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return self._persist(
+            "stg_payments", staging.stg_payments(self.raw.payments, self.installments)
+        )
 
     @property
     def rejected_payments(self) -> DataFrame:
@@ -43,13 +79,24 @@ class Marts:
     resumen: DataFrame
 
 
-def stage(raw: RawInputs, settings: Settings = Settings()) -> Staged:
+def stage(
+    raw: RawInputs,
+    settings: Settings = Settings(),
+    persist: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> Staged:
     """A1-A4 in dependency order (each layer reads the one before)."""
-    customers = staging.stg_customers(raw.customers, settings.segments)
-    loans = staging.stg_loans(raw.loans, customers)
-    installments = staging.stg_installments(raw.installments, loans)
-    payments = staging.stg_payments(raw.payments, installments)
-    return Staged(customers, loans, installments, payments)
+    return Staged(raw, settings, persist)
+
+
+def stored(name: str, df: DataFrame) -> DataFrame:
+    """Persist hook: write the layer once as a Parquet table in the shared
+    folder (under ``spark.checkpoint.dir``) and read it back. Columnar and
+    written in one pass; later plans scan it with pruning and pushed filters,
+    and a lost executor re-reads files instead of recomputing the lineage."""
+    spark = df.sparkSession
+    path = posixpath.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def build_marts(staged: Staged, settings: Settings = Settings()) -> Marts:

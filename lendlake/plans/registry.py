@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from lendlake.operators import questions, views
-from lendlake.plans.layers import Settings, build_marts, stage
+from lendlake.plans.layers import Settings, stage
 from lendlake.sources.adapters import TEST_ANALYSIS_DATE, TEST_SEGMENTS, inputs_from_tpch
 
 TEST_SETTINGS = Settings(analysis_date=TEST_ANALYSIS_DATE, segments=TEST_SEGMENTS)
@@ -35,11 +35,19 @@ class Ctx:
 
     @cached_property
     def staged(self):
-        return stage(self.raw, self.settings)
+        return stage(self.raw, self.settings, persist=None)
 
     @cached_property
     def marts(self):
-        return build_marts(self.staged, self.settings)
+        from lendlake.operators import marts as M
+        from lendlake.plans.layers import Marts
+
+        r = self.raw
+        cartera = M.dm_cartera_from_inputs(
+            r.customers, r.loans, r.installments, r.payments,
+            self.settings.analysis_date, self.settings.segments,
+        )
+        return Marts(cartera, M.dm_resumen_credito(cartera))
 
     @property
     def mart(self) -> DataFrame:

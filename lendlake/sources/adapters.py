@@ -74,12 +74,24 @@ def _installment_key(orderkey, linenumber):
     return F.concat_ws("-", orderkey.cast("string"), linenumber.cast("string"))
 
 
+def _units(c, scale: int):
+    """Exact integer units of a value with at most log10(scale) decimals
+    (cents for scale 100); long sums keep the aggregate hash-based and cheap."""
+    return F.floor(F.col(c) * scale + F.lit(0.5))
+
+
+def _from_units(c, scale: int):
+    """Integer units back to an exact decimal."""
+    digits = len(str(scale)) - 1
+    return F.col(c).cast("decimal(38,0)") * F.lit(10 ** -digits).cast(f"decimal({digits + 1},{digits})")
+
+
 def installments_from_tpch(lineitem: DataFrame) -> DataFrame:
     """installments <- lineitem grouped by (orderkey, linenumber)."""
     g = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_shipdate").alias("ship"),
-        F.sum(F.col("l_extendedprice").cast(MONEY)).alias("principal"),
-        F.sum(F.col("l_quantity").cast(MONEY)).alias("interest"),
+        F.sum(_units("l_extendedprice", 100)).alias("principal"),
+        F.sum(_units("l_quantity", 100)).alias("interest"),
         # max(returnflag || linestatus) as an integer code, so the aggregate
         # keeps a fixed-width buffer and runs hash-based.
         F.max(F.ascii("l_returnflag") * 256 + F.ascii("l_linestatus")).alias("flags"),
@@ -89,20 +101,22 @@ def installments_from_tpch(lineitem: DataFrame) -> DataFrame:
         F.col("l_orderkey").alias("loan_id"),
         F.col("l_linenumber").cast("bigint").alias("installment_number"),
         F.col("ship").cast("date").alias("due_date"),
-        F.col("principal").cast(MONEY).alias("principal_due"),
-        F.col("interest").cast(MONEY).alias("interest_due"),
+        _from_units("principal", 100).cast(MONEY).alias("principal_due"),
+        _from_units("interest", 100).cast(MONEY).alias("interest_due"),
         _map(F.col("flags"), _FLAG_CODES, "PARTIAL").alias("installment_status"),
     )
 
 
 def payments_from_tpch(lineitem: DataFrame) -> DataFrame:
-    """payments <- lineitem grouped by (orderkey, linenumber, partkey, suppkey)."""
+    """payments <- lineitem grouped by (orderkey, linenumber, partkey, suppkey).
+
+    The amount is 12 x sum(price x discount) rounded half-up to cents; the
+    products are summed exactly in 1/10000 units.
+    """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     g = lineitem.groupBy(*keys).agg(
         F.max("l_shipdate").alias("ship"),
-        F.sum(F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast(MONEY)).alias(
-            "paid"
-        ),
+        F.sum(_units("l_extendedprice", 100) * _units("l_discount", 100)).alias("paid"),
     )
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
     channel = _map(supp % 5, dict(enumerate(CHANNELS)))
@@ -116,7 +130,7 @@ def payments_from_tpch(lineitem: DataFrame) -> DataFrame:
         (F.col("l_orderkey") + F.when(part % 50 == 0, 1).otherwise(0)).alias("loan_id"),
         _installment_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("installment_id"),
         F.date_add(F.col("ship").cast("date"), (supp % 10).cast("int")).alias("payment_date"),
-        (F.col("paid") * F.lit(12)).cast(MONEY).alias("payment_amount"),
+        (_from_units("paid", 10000) * F.lit(12)).cast(MONEY).alias("payment_amount"),
         channel.alias("payment_channel"),
         status.alias("payment_status"),
         F.col("ship").alias("loaded_at"),
