@@ -35,7 +35,8 @@ EVENTS_MARK = "2024-01-15 00:00:00"
 ALT_ANALYSIS_DATE = "2000-12-31"
 # --- End of fixed values ----------------------------------------------------
 
-AS_OF = F.lit(_dt.date.fromisoformat(str(TEST_SETTINGS.analysis_date)))
+def as_of():
+    return F.lit(_dt.date.fromisoformat(str(TEST_SETTINGS.analysis_date)))
 
 
 def _valid_customers(c: Ctx, *cols: str):
@@ -379,11 +380,11 @@ query("h14_format_date")(
 )
 query("h15_date_diff")(
     lambda c: c.raw.installments.select(
-        "installment_id", F.datediff(AS_OF, F.col("due_date")).cast("bigint").alias("v")
+        "installment_id", F.datediff(as_of(), F.col("due_date")).cast("bigint").alias("v")
     )
 )
 query("h16_date_literal")(
-    lambda c: c.raw.installments.where(F.col("due_date") < AS_OF).groupBy("installment_status").agg(
+    lambda c: c.raw.installments.where(F.col("due_date") < as_of()).groupBy("installment_status").agg(
         F.count(F.lit(1)).alias("rows")
     )
 )
