@@ -134,11 +134,8 @@ def dm_cartera_from_inputs(
         LOAN_ATTRIBUTES,
     )
     le = lo.join(cust, "customer_id", "inner")
-    inst = (
-        installments.where(S.passes(S.installment_rules(F.lit(False))))
-        .select(*S.installment_columns())
-        .join(le, "loan_id", "inner")
-        .where(~S.beyond_term(F.col("installment_number"), F.col("term_months")))
+    inst = installments.where(S.passes(S.installment_rules(F.lit(False)))).select(
+        *S.installment_columns()
     )
     inst_loan = one_per_key(installments, "installment_id", ["loan_id"]).withColumnRenamed(
         "loan_id", "_inst_loan"
@@ -155,7 +152,14 @@ def dm_cartera_from_inputs(
             F.count(F.lit(1)).alias("num_payments"),
         )
     )
-    return _mart_columns(inst.join(paid, "installment_id", "left"), as_of)
+    # Payment totals join on installment_id, then the loans on loan_id: the
+    # mart leaves hash-partitioned by loan_id, which the loan summary reuses.
+    j = (
+        inst.join(paid, "installment_id", "left")
+        .join(le, "loan_id", "inner")
+        .where(~S.beyond_term(F.col("installment_number"), F.col("term_months")))
+    )
+    return _mart_columns(j, as_of)
 
 
 def _mart_columns(j: DataFrame, as_of: Column) -> DataFrame:
