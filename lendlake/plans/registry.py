@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from lendlake.operators import questions, views
-from lendlake.plans.layers import Settings, stage
+from lendlake.plans.layers import Settings, stage, stored
 from lendlake.sources.adapters import TEST_ANALYSIS_DATE, TEST_SEGMENTS, inputs_from_tpch
 
 TEST_SETTINGS = Settings(analysis_date=TEST_ANALYSIS_DATE, segments=TEST_SEGMENTS)
@@ -20,22 +20,40 @@ TEST_SETTINGS = Settings(analysis_date=TEST_ANALYSIS_DATE, segments=TEST_SEGMENT
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
+_SOURCES: dict[tuple[int, str], object] = {}
+
+
+def raw_inputs(spark: SparkSession, root: str):
+    """The canonical inputs over ``root``, declared once per session: later
+    queries reuse the same source plans (nothing is cached but the plan; each
+    action reads the files)."""
+    key = (id(spark._jsparkSession), root)
+    if key not in _SOURCES:
+        _SOURCES[key] = inputs_from_tpch(spark, root)
+    return _SOURCES[key]
+
 
 class Ctx:
     """Lazily built layers over one test-data folder."""
 
-    def __init__(self, spark: SparkSession, root: str, settings: Settings = TEST_SETTINGS):
+    def __init__(
+        self, spark: SparkSession, root: str, settings: Settings = TEST_SETTINGS,
+        store_staging: bool = False,
+    ):
         self.spark = spark
         self.root = root
         self.settings = settings
+        self.store_staging = store_staging
 
     @cached_property
     def raw(self):
-        return inputs_from_tpch(self.spark, self.root)
+        return raw_inputs(self.spark, self.root)
 
     @cached_property
     def staged(self):
-        return stage(self.raw, self.settings, persist=None)
+        # Queries that read several staging layers store them once (each layer
+        # is then computed a single time); others keep one lazy plan.
+        return stage(self.raw, self.settings, persist=stored if self.store_staging else None)
 
     @cached_property
     def marts(self):
@@ -72,11 +90,11 @@ class Ctx:
         return views.vw_bi_completo(self.mart)
 
 
-def query(name: str):
+def query(name: str, store_staging: bool = False):
     """Register ``fn(ctx) -> DataFrame`` under ``name``."""
 
     def wrap(fn: Callable[[Ctx], DataFrame]) -> Callable[[Ctx], DataFrame]:
-        REGISTRY[name] = lambda spark, root: fn(Ctx(spark, root))
+        REGISTRY[name] = lambda spark, root: fn(Ctx(spark, root, store_staging=store_staging))
         REGISTRY[name].__doc__ = fn.__doc__
         return fn
 
