@@ -19,9 +19,11 @@ from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 
 def as_mark(value: _dt.datetime | str) -> Column:
-    """A watermark literal (timestamp without time zone)."""
-    if isinstance(value, str):
-        value = _dt.datetime.fromisoformat(value)
+    """A watermark literal (timestamp without time zone), built from text so no
+    session or process time zone shifts it."""
+    if isinstance(value, _dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    _dt.datetime.fromisoformat(value)  # validate
     return F.lit(value).cast("timestamp_ntz")
 
 

@@ -2,15 +2,18 @@
 
 ``row_number().over(Window.orderBy(...))`` moves every row into one partition.
 Here the rows are range-partitioned on the full order (ties broken by a unique
-key so ranges split evenly even when many rows share a value), sorted inside
-each range and checkpointed to the shared checkpoint folder so that range
-bounds and row positions are fixed. A row's number is the count of rows in
-earlier ranges plus its position in its own range. Only one small table, one
-row per range, is aggregated and broadcast.
+key, so ranges split evenly even when many rows share a value) and sorted
+inside each range. In the same pass each row gets its range id and its
+position in the range, and the rows are written once as Parquet to the shared
+checkpoint folder, which fixes bounds and positions and cuts the lineage. A
+row's number is then the count of rows in earlier ranges plus its position.
+Only one small table, one row per range, is windowed and broadcast.
 """
 
 from __future__ import annotations
 
+import posixpath
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,17 +25,18 @@ _POSITION_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """``df`` plus ``name`` = 1-based position in ``order`` (must be a total order).
-
-    The result stays range-partitioned and sorted by ``order``.
-    """
-    checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
-    tagged = ranged.select(
-        "*",
-        F.spark_partition_id().alias("_range"),
-        F.monotonically_increasing_id().alias("_mid"),
-    ).withColumn(
+    """``df`` plus ``name`` = 1-based position in ``order`` (must be a total order)."""
+    spark = df.sparkSession
+    path = posixpath.join(checkpoint_dir(spark), "ranking", uuid.uuid4().hex)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    (
+        ranged.select(
+            "*",
+            F.spark_partition_id().alias("_range"),
+            F.monotonically_increasing_id().alias("_mid"),
+        ).write.parquet(path)
+    )
+    tagged = spark.read.parquet(path).withColumn(
         "_pos", F.col("_mid") - F.shiftleft(F.col("_range").cast("bigint"), _POSITION_BITS)
     )
     sizes = tagged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
