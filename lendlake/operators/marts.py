@@ -102,6 +102,63 @@ def dm_cartera(
     return _mart_columns(j, as_of)
 
 
+class InputParts:
+    """Building blocks of the single-pass plans over the canonical inputs.
+
+    Every table is filtered by its own row rules; each "parent exists and is
+    valid" rule becomes the inner join the plan needs anyway, so no staging
+    table is re-derived in several branches of one plan.
+    """
+
+    def __init__(self, customers, loans, installments, payments, segments=K.SEGMENTS):
+        from lendlake.operators import staging as S
+
+        self.customers = one_per_key(
+            customers.where(S.passes(S.customer_rules(segments))).select(*S.customer_columns()),
+            "customer_id",
+            ["full_name", "city", "segment"],
+        )
+        lo = one_per_key(
+            loans.where(S.passes(S.loan_rules(F.lit(False)))).select(*S.loan_columns()),
+            "loan_id",
+            LOAN_ATTRIBUTES,
+        )
+        # Valid loans of valid customers, with the customer's attributes.
+        self.loans = lo.join(self.customers, "customer_id", "inner")
+        # Installments passing their own rules (parent and term tested at the join).
+        self.installments = installments.where(
+            S.passes(S.installment_rules(F.lit(False)))
+        ).select(*S.installment_columns())
+        self.raw_installments = installments
+        self.payments = payments.where(S.passes(S.payment_own_failures())).select(
+            *S.payment_columns()
+        )
+        self.beyond_term = S.beyond_term
+
+    def normal_installments(self) -> DataFrame:
+        """Valid, normal installments of valid loans, with loan attributes."""
+        return self.installments.join(self.loans, "loan_id", "inner").where(
+            ~self.beyond_term(F.col("installment_number"), F.col("term_months"))
+        )
+
+    def paid_per_installment(self) -> DataFrame:
+        """Valid payments summed per installment. The loan check needs only the
+        installment's loan, so it uses a key-only lookup; orphans fall out at
+        the mart's join with the valid installments."""
+        inst_loan = one_per_key(self.raw_installments, "installment_id", ["loan_id"])
+        return (
+            self.payments.select("installment_id", "loan_id", "payment_amount", "payment_date")
+            .join(inst_loan.withColumnRenamed("loan_id", "_inst_loan"), "installment_id", "inner")
+            .where(F.col("loan_id").isNull() | (F.col("loan_id") == F.col("_inst_loan")))
+            .groupBy("installment_id")
+            .agg(
+                F.sum("payment_amount").cast(K.MONEY_SUM).alias("total_paid"),
+                F.max("payment_date").alias("last_payment_date"),
+                F.count(F.lit(1)).alias("num_payments"),
+            )
+        )
+
+
 def dm_cartera_from_inputs(
     customers: DataFrame,
     loans: DataFrame,
@@ -113,53 +170,18 @@ def dm_cartera_from_inputs(
     """A6 straight from the canonical raw inputs, one pass over each table.
 
     Same rows as ``dm_cartera`` over the staging layer, without building the
-    staging tables: every table is filtered by its own row rules, and each
-    "parent exists and is valid" rule becomes the inner join that the mart
-    needs anyway. Installments join the enriched loans once (which also gives
-    the term for the anomaly test); payments are checked against their
-    installment's loan through a key-only lookup and pre-aggregated per
-    installment before the final left join.
+    staging tables. Payment totals join the installments on installment_id,
+    then the enriched loans join on loan_id (which also gives the term for the
+    anomaly test): the mart leaves hash-partitioned by loan_id, which the loan
+    summary reuses without another shuffle.
     """
-    from lendlake.operators import staging as S
-
-    as_of = F.lit(as_date(analysis_date))
-    cust = one_per_key(
-        customers.where(S.passes(S.customer_rules(segments))).select(*S.customer_columns()),
-        "customer_id",
-        ["full_name", "city", "segment"],
-    )
-    lo = one_per_key(
-        loans.where(S.passes(S.loan_rules(F.lit(False)))).select(*S.loan_columns()),
-        "loan_id",
-        LOAN_ATTRIBUTES,
-    )
-    le = lo.join(cust, "customer_id", "inner")
-    inst = installments.where(S.passes(S.installment_rules(F.lit(False)))).select(
-        *S.installment_columns()
-    )
-    inst_loan = one_per_key(installments, "installment_id", ["loan_id"]).withColumnRenamed(
-        "loan_id", "_inst_loan"
-    )
-    paid = (
-        payments.where(S.passes(S.payment_own_failures()))
-        .select("installment_id", "loan_id", "payment_amount", "payment_date")
-        .join(inst_loan, "installment_id", "inner")
-        .where(F.col("loan_id").isNull() | (F.col("loan_id") == F.col("_inst_loan")))
-        .groupBy("installment_id")
-        .agg(
-            F.sum("payment_amount").cast(K.MONEY_SUM).alias("total_paid"),
-            F.max("payment_date").alias("last_payment_date"),
-            F.count(F.lit(1)).alias("num_payments"),
-        )
-    )
-    # Payment totals join on installment_id, then the loans on loan_id: the
-    # mart leaves hash-partitioned by loan_id, which the loan summary reuses.
+    parts = InputParts(customers, loans, installments, payments, segments)
     j = (
-        inst.join(paid, "installment_id", "left")
-        .join(le, "loan_id", "inner")
-        .where(~S.beyond_term(F.col("installment_number"), F.col("term_months")))
+        parts.installments.join(parts.paid_per_installment(), "installment_id", "left")
+        .join(parts.loans, "loan_id", "inner")
+        .where(~parts.beyond_term(F.col("installment_number"), F.col("term_months")))
     )
-    return _mart_columns(j, as_of)
+    return _mart_columns(j, F.lit(as_date(analysis_date)))
 
 
 def _mart_columns(j: DataFrame, as_of: Column) -> DataFrame:

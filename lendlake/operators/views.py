@@ -56,22 +56,46 @@ def collections_enriched(
         .join(lo, "loan_id", "inner")
         .join(cust, "customer_id", "inner")
     )
+    return j.withColumn("aplica_mora", applied_to_arrears())
+
+
+def collections_from_inputs(
+    customers: DataFrame, loans: DataFrame, installments: DataFrame, payments: DataFrame,
+    segments=K.SEGMENTS,
+) -> DataFrame:
+    """The same rows as ``collections_enriched``, in one join.
+
+    A valid payment must hit a valid, normal installment of its own loan, and
+    the star join on the payment's loan drops a NULL loan (N20); so joining
+    the payments that pass their own rules to the valid installments on
+    (installment_id, loan_id) gives exactly the valid, joined payments, and the
+    installment rows already carry the loan's customer attributes.
+    """
+    from lendlake.operators.marts import InputParts
+
+    parts = InputParts(customers, loans, installments, payments, segments)
+    inst = one_per_key(
+        parts.normal_installments(), "installment_id",
+        ["loan_id", "due_date", "installment_status", "city", "segment"],
+    )
+    j = parts.payments.select(
+        "payment_id", "payment_date", "payment_amount", "payment_channel", "loan_id",
+        "installment_id",
+    ).join(inst, ["installment_id", "loan_id"], "inner")
+    return j.withColumn("aplica_mora", applied_to_arrears())
+
+
+def applied_to_arrears() -> F.Column:
+    """Payment applied to an installment in arrears."""
     status = F.col("installment_status")
     late = (F.col("due_date") < F.col("payment_date")) & ~status.isin("PAID", "DUE")
-    return j.withColumn(
-        "aplica_mora", F.when(status == "LATE", True).when(late, True).otherwise(False)
-    )
+    return F.when(status == "LATE", True).when(late, True).otherwise(False)
 
 
-def vw_recaudo_diario(
-    customers: DataFrame, loans: DataFrame, installments: DataFrame, payments: DataFrame
-) -> DataFrame:
-    """Collections per day, month, city, segment and channel, split into
-    arrears and current."""
-    pe = collections_enriched(customers, loans, installments, payments)
+def collections_by_day(pe: DataFrame) -> DataFrame:
+    """A9's aggregation over enriched valid payments."""
     amount = F.col("payment_amount")
     mora = F.sum(F.when(F.col("aplica_mora"), amount).otherwise(F.lit(0)))
-    total = F.sum(amount)
     g = pe.groupBy(
         "payment_date",
         month_label("payment_date").alias("mes_pago"),
@@ -80,7 +104,7 @@ def vw_recaudo_diario(
         "payment_channel",
     ).agg(
         F.countDistinct("payment_id").alias("num_pagos"),
-        total.cast(K.MONEY_SUM).alias("recaudo_total"),
+        F.sum(amount).cast(K.MONEY_SUM).alias("recaudo_total"),
         mora.cast(K.MONEY_SUM).alias("recaudo_en_mora"),
         F.sum(F.when(~F.col("aplica_mora"), amount).otherwise(F.lit(0)))
         .cast(K.MONEY_SUM)
@@ -89,6 +113,14 @@ def vw_recaudo_diario(
     return g.withColumn("pct_recaudo_mora", pct(F.col("recaudo_en_mora"), F.col("recaudo_total")))
 
 
+def vw_recaudo_diario(
+    customers: DataFrame, loans: DataFrame, installments: DataFrame, payments: DataFrame
+) -> DataFrame:
+    """Collections per day, month, city, segment and channel, split into
+    arrears and current."""
+    return collections_by_day(collections_enriched(customers, loans, installments, payments))
+
+
 def vw_cartera_cohorte(mart: DataFrame) -> DataFrame:
     """A10: portfolio per cohort month, city, segment, product and bucket.
     ``num_creditos`` counts loans per bucket and does not add up over buckets."""

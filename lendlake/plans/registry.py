@@ -82,8 +82,12 @@ class Ctx:
 
     @cached_property
     def collections(self) -> DataFrame:
-        s = self.staged
-        return views.vw_recaudo_diario(s.customers, s.loans, s.installments, s.payments)
+        r = self.raw
+        return views.collections_by_day(
+            views.collections_from_inputs(
+                r.customers, r.loans, r.installments, r.payments, self.settings.segments
+            )
+        )
 
     @cached_property
     def bi(self) -> DataFrame:
