@@ -20,19 +20,40 @@ TEST_SETTINGS = Settings(analysis_date=TEST_ANALYSIS_DATE, segments=TEST_SEGMENT
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
 
-_SOURCES: dict[tuple[int, str], object] = {}
+_SOURCES: dict[tuple, object] = {}
+_CONTEXTS: dict[tuple, "Ctx"] = {}
+
+
+def _session_key(spark: SparkSession) -> tuple:
+    return (spark.sparkContext.applicationId, id(spark._jsparkSession))
 
 
 def raw_inputs(spark: SparkSession, root: str):
     """The canonical inputs over ``root``, declared once per session: later
     queries reuse the same source plans (nothing is cached but the plan; each
     action reads the files)."""
-    key = (id(spark._jsparkSession), root)
+    key = (*_session_key(spark), root)
     if key not in _SOURCES:
         _SOURCES[key] = inputs_from_tpch(spark, root)
     return _SOURCES[key]
 
 
+def context(spark: SparkSession, root: str, store_staging: bool = False) -> "Ctx":
+    """The layers over ``root`` for this session, declared once and shared by
+    all queries, as an application keeps its DataFrames: only lazy plans are
+    kept, every action still reads the data. ``forget()`` drops them."""
+    key = (*_session_key(spark), root, store_staging)
+    if key not in _CONTEXTS:
+        _CONTEXTS[key] = Ctx(spark, root, store_staging=store_staging)
+    return _CONTEXTS[key]
+
+
+def forget() -> None:
+    """Drop the declared source and layer plans (e.g. after new files land)."""
+    _SOURCES.clear()
+    _CONTEXTS.clear()
+
+
 class Ctx:
     """Lazily built layers over one test-data folder."""
 
@@ -98,7 +119,7 @@ def query(name: str, store_staging: bool = False):
     """Register ``fn(ctx) -> DataFrame`` under ``name``."""
 
     def wrap(fn: Callable[[Ctx], DataFrame]) -> Callable[[Ctx], DataFrame]:
-        REGISTRY[name] = lambda spark, root: fn(Ctx(spark, root, store_staging=store_staging))
+        REGISTRY[name] = lambda spark, root: fn(context(spark, root, store_staging))
         REGISTRY[name].__doc__ = fn.__doc__
         return fn
 
