@@ -21,6 +21,23 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Starting settings for a run over ``input_bytes`` on ``cores`` executor
+    cores: enough initial shuffle partitions for ~256 MB each (AQE coalesces
+    small ones and splits skewed join partitions), 256 MB scan splits, and a
+    broadcast threshold that AQE applies to runtime sizes only."""
+    target = 256 * 1024 * 1024
+    partitions = max(cores * 2, min(100_000, input_bytes // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target * 2),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    }
+
+
 def get_session(
     app: str = "lendlake",
     master: str | None = None,
