@@ -82,7 +82,7 @@ def _rows(agg: DataFrame, ids: Sequence[str]) -> DataFrame:
 
 
 def required_not_null(df: DataFrame, cols: Sequence[str]) -> Column:
-    """K4: any required field NULL (or blank for text)."""
+    """K4: any of the required fields is NULL."""
     conds = [F.col(c).isNull() for c in cols]
     return reduce(lambda a, b: a | b, conds)
 

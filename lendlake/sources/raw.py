@@ -37,7 +37,7 @@ def read_raw(spark: SparkSession, root: str) -> RawInputs:
     )
 
 
-def create_raw_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
+def create_input_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
     """CREATE SCHEMA / TABLE IF NOT EXISTS for the four raw inputs."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, schema in RAW_SCHEMAS.items():

@@ -42,3 +42,13 @@ def test_streaming_upsert(spark, tmp_path):
     q.awaitTermination(120)
     snap = {r.payment_id: r.payment_amount for r in read_snapshot(spark, target, PAYMENTS).collect()}
     assert snap == {"P1": D("99.00"), "P2": D("50.00"), "P3": D("50.00")}
+
+
+def test_create_input_tables(spark, tmp_path):
+    from lendlake.sources.raw import create_input_tables
+
+    create_input_tables(spark, "lendlake_raw_test", str(tmp_path / "raw"))
+    create_input_tables(spark, "lendlake_raw_test", str(tmp_path / "raw"))  # idempotent
+    cols = [c.name for c in spark.catalog.listColumns("lendlake_raw_test.payments")]
+    assert cols[:3] == ["payment_id", "loan_id", "installment_id"] and "loaded_at" in cols
+    assert spark.table("lendlake_raw_test.loans").count() == 0
