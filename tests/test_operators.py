@@ -1,7 +1,6 @@
 """Ranking, incremental operators, controls and plan shapes."""
 
 import datetime as dt
-from decimal import Decimal as D
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F

@@ -4,7 +4,6 @@
 import collections
 import datetime as dt
 import decimal
-import os
 
 import duckdb
 import pytest

@@ -4,7 +4,7 @@ section 2), checked through the public staging functions."""
 import datetime as dt
 from decimal import Decimal as D
 
-from lendlake.plans.layers import Settings, stage
+from lendlake.plans.layers import stage
 from lendlake.sources.raw import literal_inputs
 
 DAY = dt.date(2025, 1, 10)
