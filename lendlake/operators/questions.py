@@ -165,3 +165,14 @@ def q05_bi_dataset(bi: DataFrame) -> DataFrame:
         F.col("pct_cobrado").alias("porcentaje_cobrado"),
         "cuota_pagada_completa",
     )
+
+
+def q03_principal_per_cohort(summary: DataFrame) -> DataFrame:
+    """Originated principal per cohort and segment counting each loan once
+    (from the loan summary), next to Q03's per-installment sum (N16)."""
+    return summary.groupBy(
+        month_label("cohort_month").alias("cohorte"), F.col("segment").alias("segmento")
+    ).agg(
+        F.count(F.lit(1)).alias("num_creditos"),
+        F.sum("loan_principal").cast(K.MONEY_SUM).alias("principal_distinct"),
+    )

@@ -148,6 +148,7 @@ query("q01d_desembolso_dia_ciudad_segmento")(
 )
 query("q02_recaudo_diario")(lambda c: questions.q02_collections_by_day(c.collections))
 query("q03_cartera_por_cohorte")(lambda c: questions.q03_cohort_health(c.mart))
+query("q03_principal_distinct")(lambda c: questions.q03_principal_per_cohort(c.summary))
 query("q04_top_atraso")(lambda c: questions.q04_top_arrears(c.summary))
 query("q05_dataset_bi")(lambda c: questions.q05_bi_dataset(c.bi))
 
