@@ -61,6 +61,7 @@ def run(
         "origination": views.vw_originacion_diaria(customers, loans),
         "collections": views.vw_recaudo_diario(customers, loans, installments, payments),
         "cohort": views.vw_cartera_cohorte(cartera),
+        "top_arrears": views.vw_top_mora(resumen),
         "bi": views.vw_bi_completo(cartera),
     }
     if register:
