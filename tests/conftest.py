@@ -20,6 +20,7 @@ def spark():
         extra={
             "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
             "spark.local.dir": os.path.join(scratch, "local"),
+            "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         },
     )
     yield s
