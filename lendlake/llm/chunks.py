@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendlake.llm.tables import id_text, map_rows, stored
+from lendlake.llm.tables import id_text, map_rows, stored_by
 
 CHUNK_BYTES = 4 << 20
 
@@ -44,7 +44,7 @@ class Chunk:
 
 
 def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
 def unsqueeze(data: bytes) -> bytes:
@@ -68,7 +68,7 @@ def unpack(chunk: int, n: int, payload: bytes) -> Chunk:
 
 
 def pack_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``(chunk long, n int, payload binary)``, stored once.
+    """``(chunk long, n int, payload binary)``, stored once, bucketed by chunk.
 
     The chunk numbers are part of the stored rows, so they stay the same
     whatever is computed again later. Rows without doc_id are left out: no
@@ -94,7 +94,7 @@ def pack_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             yield [_pack(chunk, ids, texts)]
 
     rows = id_text(docs).where("doc_id IS NOT NULL")
-    return stored(map_rows(rows, packed, "chunk long, n int, payload binary"))
+    return stored_by(map_rows(rows, packed, "chunk long, n int, payload binary"), "chunk")
 
 
 def pack_sorted(a: np.ndarray) -> bytes:
@@ -165,7 +165,8 @@ def shared_flags(blobs: DataFrame) -> DataFrame:
 
 
 def with_answers(chunked: DataFrame, answers: DataFrame) -> DataFrame:
-    """The chunks, each with the array of its (bucket, answer) pairs."""
+    """The chunks, each with the array of its (bucket, answer) pairs. The chunks
+    are bucketed, so only the answers are shuffled."""
     column = answers.columns[-1]
     each = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", column)).alias("answers"))
     return chunked.join(each, "chunk", "left")

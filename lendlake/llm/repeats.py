@@ -303,7 +303,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     size = chunked.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
     buckets = C.bucket_count(3 * size)
     blobs = map_rows(chunked, lambda it: _hash_blobs(it, buckets), "bucket int, chunk long, payload binary")
-    asked = stored(C.with_answers(chunked, C.shared_flags(blobs)).withColumnRenamed("answers", "flags"))
+    asked = C.with_answers(chunked, stored(C.shared_flags(blobs))).withColumnRenamed("answers", "flags")
     windows = map_rows(
         asked.select("chunk", "n", "payload", "flags"),
         lambda it: _window_blobs(it, buckets),

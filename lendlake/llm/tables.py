@@ -37,6 +37,24 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, column: str) -> DataFrame:
+    """Like ``stored``, bucketed by ``column`` (one file a bucket), so that
+    joins on it move only the other side.
+
+    The catalog entry that bucketing needs goes at once; the files stay in the
+    shared folder.
+    """
+    spark = df.sparkSession
+    name = f"llm_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartition(n, column)
+    path = f"{checkpoint_dir(spark)}/{name}"
+    spread.write.bucketBy(n, column).option("compression", "none").option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of a column as text, modulo n (null for null)."""
     return F.crc32(F.encode(F.col(column).cast("string"), "UTF-8")) % F.lit(n)
