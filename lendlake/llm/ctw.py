@@ -47,7 +47,7 @@ DEPTH = 5
 TOP = 2
 FOLDS, HELD_OUT = 7, 2
 #: Chunks are larger here, as each sends its distinct grams once.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Bytes of a chunk that are looked at together.
 _BATCH = 1 << 20
 
