@@ -398,10 +398,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             "doc_id long, n int, digest binary, shared binary",
         )
     )
-    classes = scanned.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = scanned.select("doc_id", "n", "digest").join(classes, "digest", "left")
+    maybe = scanned.where("digest IS NOT NULL")
+    classes = maybe.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    members = maybe.select("doc_id", "n", "digest").join(classes, "digest").select("doc_id", "n", "rep")
+    alone = scanned.where("digest IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     sets = stored(
-        scanned.join(classes, (scanned["digest"] == classes["digest"]) & (scanned["doc_id"] == classes["rep"]))
+        maybe.join(classes, (maybe["digest"] == classes["digest"]) & (maybe["doc_id"] == classes["rep"]))
         .select("rep", "n", "shared")
         .dropDuplicates(["rep"])
     )
@@ -415,17 +417,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = stored(links.union(verify(_stars(_connected(entries, links), seed), sets)))
     links = stored(links.union(_leftover_links(_connected(entries, links), sets)))
     final = components(links)
-    return members.join(final, members["rep"] == final["node"], "left").select(
-        "doc_id",
-        F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("root", "rep", "doc_id").alias("component_id"),
+    placed = members.join(final, members["rep"] == final["node"], "left").select(
+        "doc_id", "n", F.coalesce("root", "rep").alias("component_id")
     )
+    return placed.union(alone).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, that are the first of their
-    component: one row of each group stays. Rows without doc_id stay."""
+    component: one row of each group stays, and one of those with the same
+    doc_id. Rows without doc_id stay."""
     firsts = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
     ids = docs["doc_id"].cast("long")
-    kept = docs.join(firsts, ids == F.col("first_id"), "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(firsts, ids == firsts["first_id"], "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(docs["doc_id"].isNull()))

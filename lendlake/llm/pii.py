@@ -134,6 +134,12 @@ _ADDRESS = re.compile(
     rf"(?:{_BOXED_DOT}|\x20(?:dot|punto|point|punkt)\x20)[A-Za-z0-9-]+(?:{_DOTS}[A-Za-z0-9-]+)*)",
     re.IGNORECASE,
 )
+_BARE_AT = re.compile(r"\x20(?:at|arroba)\x20", re.IGNORECASE)
+# Endings that a bare "at ... dot ..." must have to be an address.
+_TOP_LEVEL = frozenset(
+    "com org net edu gov mil int info biz name io ai app dev co me tv eu de fr es it pt nl be ch at uk ie us ca mx ar br"
+    " cl pe au nz in jp cn kr ru ua pl cz sk hu ro bg gr tr se no dk fi is lu example test".split()
+)
 _MARK = re.compile(rf"{_BOXED_AT}|{_BOXED_DOT}|\x20(?:at|arroba)\x20|\x20?@\x20?|\x20(?:dot|punto|point|punkt)\x20", re.IGNORECASE)
 _AT_HINT = re.compile(rf"{_BOXED_AT}|\x20(?:at|arroba)\x20[^\n@]{{1,80}}?(?:dot|punto|point|punkt)|@[^\n@]{{1,80}}?(?:dot|punto|point|punkt)", re.IGNORECASE)
 
@@ -238,6 +244,8 @@ def rewrite(text: str) -> Rewritten | None:
     if _AT_HINT.search(now):
         changes = []
         for m in _ADDRESS.finditer(now):
+            if _BARE_AT.search(m.group()) and re.split("[^a-z0-9-]", m.group().lower())[-1] not in _TOP_LEVEL:
+                continue  # a sentence such as "look at the dot on it"
             for k in _MARK.finditer(now, *m.span()):
                 sign = "@" if "@" in k.group() or re.search("at|arroba", k.group(), re.IGNORECASE) else "."
                 if k.group() != sign:
