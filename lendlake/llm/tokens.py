@@ -42,9 +42,7 @@ def encoder(path: str) -> tiktoken.Encoding:
 
 def ids_of(text: str | None, enc: tiktoken.Encoding) -> np.ndarray:
     """The ids of a text (null: none) and the end, unsigned 32-bit."""
-    ids = enc.encode_ordinary(text or "")
-    ids.append(END)
-    return np.array(ids, "<u4")
+    return np.append(enc.encode_to_numpy(text or "", disallowed_special=()), np.uint32(END))
 
 
 def pieces(ids: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray]]:
