@@ -46,6 +46,8 @@ GRAM = 24
 SIDE = SPAN - GRAM  # offsets 0..SIDE of an anchor in a string
 BITS = 40  # of an anchor's hash by which buckets compare
 _BLOCK = (1 << 16) - SPAN
+#: Small chunks: their rows stay small for the JVM, which holds several.
+CHUNK_BYTES = 1 << 20
 _WIDTH = 80  # bytes of a window: left side, gram, right side, 4 of padding
 
 
@@ -299,7 +301,7 @@ def _cut_out(batches: Iterator[list], buckets: int, with_kept: bool) -> Iterator
 def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     """One row for each document with doc_id: doc_id, n_bytes, n_removed,
     n_spans, kept_sha256 and, if asked for, the kept bytes."""
-    chunked = C.pack_chunks(docs)
+    chunked = C.pack_chunks(docs, CHUNK_BYTES)
     size = chunked.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
     buckets = C.bucket_count(3 * size)
     blobs = map_rows(chunked, lambda it: _hash_blobs(it, buckets), "bucket int, chunk long, payload binary")

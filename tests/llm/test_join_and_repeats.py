@@ -102,8 +102,7 @@ def test_repeats_equal_brute_force(spark):
 
 def test_repeats_across_chunks_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_BLOCK", 700)
-    packed = chunks.pack_chunks
-    monkeypatch.setattr(chunks, "pack_chunks", lambda docs: packed(docs, 2000))
+    monkeypatch.setattr(repeats, "CHUNK_BYTES", 2000)
     got = Counter(tuple(r) for r in repeats.remove_repeats(documents(spark)).collect())
     assert got == brute_repeats(with_id(texts()))
 
