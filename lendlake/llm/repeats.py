@@ -48,6 +48,8 @@ BITS = 40  # of an anchor's hash by which buckets compare
 _BLOCK = (1 << 16) - SPAN
 #: Small chunks: their rows stay small for the JVM, which holds several.
 CHUNK_BYTES = 1 << 20
+#: Text for each bucket, about: a bucket is refined in memory at once.
+BUCKET_BYTES = 4 << 20
 _WIDTH = 80  # bytes of a window: left side, gram, right side, 4 of padding
 
 
@@ -303,7 +305,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = False) -> DataFrame:
     n_spans, kept_sha256 and, if asked for, the kept bytes."""
     chunked = C.pack_chunks(docs, CHUNK_BYTES)
     size = chunked.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
-    buckets = C.bucket_count(3 * size)
+    buckets = C.bucket_count(3 * size, BUCKET_BYTES)
     blobs = map_rows(chunked, lambda it: _hash_blobs(it, buckets), "bucket int, chunk long, payload binary")
     asked = C.with_answers(chunked, stored(C.shared_flags(blobs))).withColumnRenamed("answers", "flags")
     windows = map_rows(
