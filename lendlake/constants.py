@@ -7,7 +7,6 @@ them. They are stated once here, in the order the rules apply.
 
 from __future__ import annotations
 
-import datetime as _dt
 
 # --- Fixed values (must stay identical to the source pipeline) -------------
 
@@ -88,6 +87,3 @@ WHITESPACE = (
 MONEY = "decimal(18,2)"
 MONEY_SUM = "decimal(38,2)"
 RATE = "decimal(9,6)"
-
-# Analysis date used by every checked query (inside the test data's range).
-DEFAULT_ANALYSIS_DATE = _dt.date(1999, 6, 30)

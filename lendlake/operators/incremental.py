@@ -11,8 +11,9 @@ overwrite. The mark is a one-row Parquet table in the caller's state folder.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampNTZType
@@ -45,15 +46,26 @@ def advance_mark(df: DataFrame, ts_col: str, mark: _dt.datetime | str) -> DataFr
     )
 
 
+def read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` declares, or None where nothing is stored yet. Any other
+    error goes up: taken for "nothing stored", it would lose what is."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 _MARK_SCHEMA = StructType([StructField("mark", TimestampNTZType(), True)])
 
 
 def read_mark(spark: SparkSession, path: str, default: _dt.datetime) -> _dt.datetime:
     """The stored mark (a one-row table), or ``default`` when none is stored."""
-    try:
-        row = spark.read.schema(_MARK_SCHEMA).parquet(path).agg(F.max("mark")).first()
-    except Exception:  # noqa: BLE001 - no mark stored yet
+    rows = read_if_there(lambda: spark.read.schema(_MARK_SCHEMA).parquet(path))
+    if rows is None:
         return default
+    row = rows.agg(F.max("mark")).first()
     return row[0] if row and row[0] is not None else default
 
 
@@ -79,7 +91,8 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[str])
     """K2: MERGE by key (update matched with the newer row, insert new).
 
     Both sides are reduced to their newest row per key; a source row replaces
-    the target row unless the target row is newer by ``order``.
+    the target row unless the target row is newer by ``order``. Rows without a
+    key match nothing: the target's stay and the source's are inserted.
     """
     cols = [c for c in target.columns]
     t = latest_per_key(target, key, order).select(
@@ -93,9 +106,11 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order: Sequence[str])
     s_key = F.struct(*[F.col(f"_s.{c}") for c in order])
     use_source = F.col("_s").isNotNull() & (F.col("_t").isNull() | (s_key >= t_key))
     row = F.when(use_source, F.col("_s")).otherwise(F.col("_t"))
-    return j.select(key, row.alias("_r")).select(
+    merged = j.select(key, row.alias("_r")).select(
         key, *[F.col(f"_r.{c}").alias(c) for c in cols if c != key]
     ).select(*cols)
+    no_key = F.col(key).isNull()
+    return merged.union(target.where(no_key).select(*cols)).union(source.where(no_key).select(*cols))
 
 
 def touched_partitions(
@@ -113,9 +128,10 @@ def rebuild_partitions(mart: DataFrame, touched: DataFrame, path: str, partition
 
     Ageing columns depend on the analysis date, so rebuilt partitions carry the
     new date while untouched ones keep theirs; rebuild everything when the
-    date moves.
+    date moves. A touched NULL partition is rebuilt too. ``touched`` must come
+    from the new mart's keys, or partitions that the increment adds are missed.
     """
-    rows = mart.join(touched, partition_col, "left_semi")
+    rows = mart.join(touched, mart[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

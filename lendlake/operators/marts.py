@@ -118,18 +118,19 @@ class InputParts:
             "customer_id",
             ["full_name", "city", "segment"],
         )
-        lo = one_per_key(
-            loans.where(S.passes(S.loan_rules(F.lit(False)))).select(*S.loan_columns()),
+        # Valid loans of valid customers, with the customer's attributes; one
+        # row per loan is chosen among these only, so a copy that points at an
+        # unknown customer can't displace a valid one.
+        valid = loans.where(S.passes(S.loan_rules(F.lit(False)))).select(*S.loan_columns())
+        self.loans = one_per_key(
+            valid.join(self.customers, "customer_id", "inner"),
             "loan_id",
-            LOAN_ATTRIBUTES,
+            [*LOAN_ATTRIBUTES, "full_name", "city", "segment"],
         )
-        # Valid loans of valid customers, with the customer's attributes.
-        self.loans = lo.join(self.customers, "customer_id", "inner")
         # Installments passing their own rules (parent and term tested at the join).
         self.installments = installments.where(
             S.passes(S.installment_rules(F.lit(False)))
         ).select(*S.installment_columns())
-        self.raw_installments = installments
         self.payments = payments.where(S.passes(S.payment_own_failures())).select(
             *S.payment_columns()
         )
@@ -141,20 +142,25 @@ class InputParts:
             ~self.beyond_term(F.col("installment_number"), F.col("term_months"))
         )
 
-    def paid_per_installment(self) -> DataFrame:
-        """Valid payments summed per installment. The loan check needs only the
-        installment's loan, so it uses a key-only lookup; orphans fall out at
-        the mart's join with the valid installments."""
-        inst_loan = one_per_key(self.raw_installments, "installment_id", ["loan_id"])
+    def paid_per_installment(self, normal: DataFrame) -> DataFrame:
+        """Valid payments summed per installment: summed per (installment,
+        loan) first, so a hot installment meets the join as a few rows, then
+        matched to the loan of the valid, normal installment (the same rule as
+        in staging, whatever copies the raw table holds)."""
+        per_loan = self.payments.groupBy("installment_id", "loan_id").agg(
+            F.sum("payment_amount").cast(K.MONEY_SUM).alias("_paid"),
+            F.max("payment_date").alias("_last"),
+            F.count(F.lit(1)).alias("_n"),
+        )
+        inst_loan = one_per_key(normal.select("installment_id", "loan_id"), "installment_id", ["loan_id"])
         return (
-            self.payments.select("installment_id", "loan_id", "payment_amount", "payment_date")
-            .join(inst_loan.withColumnRenamed("loan_id", "_inst_loan"), "installment_id", "inner")
+            per_loan.join(inst_loan.withColumnRenamed("loan_id", "_inst_loan"), "installment_id", "inner")
             .where(F.col("loan_id").isNull() | (F.col("loan_id") == F.col("_inst_loan")))
             .groupBy("installment_id")
             .agg(
-                F.sum("payment_amount").cast(K.MONEY_SUM).alias("total_paid"),
-                F.max("payment_date").alias("last_payment_date"),
-                F.count(F.lit(1)).alias("num_payments"),
+                F.sum("_paid").cast(K.MONEY_SUM).alias("total_paid"),
+                F.max("_last").alias("last_payment_date"),
+                F.sum("_n").alias("num_payments"),
             )
         )
 
@@ -167,20 +173,15 @@ def dm_cartera_from_inputs(
     analysis_date: _dt.date | str | None = None,
     segments=K.SEGMENTS,
 ) -> DataFrame:
-    """A6 straight from the canonical raw inputs, one pass over each table.
+    """A6 straight from the canonical raw inputs.
 
     Same rows as ``dm_cartera`` over the staging layer, without building the
-    staging tables. Payment totals join the installments on installment_id,
-    then the enriched loans join on loan_id (which also gives the term for the
-    anomaly test): the mart leaves hash-partitioned by loan_id, which the loan
-    summary reuses without another shuffle.
+    staging tables: installments join their valid loans (which also gives the
+    term for the anomaly test), then their payment totals.
     """
     parts = InputParts(customers, loans, installments, payments, segments)
-    j = (
-        parts.installments.join(parts.paid_per_installment(), "installment_id", "left")
-        .join(parts.loans, "loan_id", "inner")
-        .where(~parts.beyond_term(F.col("installment_number"), F.col("term_months")))
-    )
+    normal = parts.normal_installments()
+    j = normal.join(parts.paid_per_installment(normal), "installment_id", "left")
     return _mart_columns(j, F.lit(as_date(analysis_date)))
 
 

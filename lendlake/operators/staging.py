@@ -25,6 +25,7 @@ from lendlake.functions.text import (
     trim_ws,
 )
 from lendlake.operators.keys import key_set, one_per_key
+from lendlake.operators.marts import LOAN_ATTRIBUTES
 
 CUSTOMER_COLUMNS = [
     "customer_id", "full_name", "city", "segment", "monthly_income", "created_at",
@@ -171,8 +172,9 @@ def beyond_term(number: Column, term: Column) -> Column:
 def stg_installments(installments: DataFrame, loans: DataFrame) -> DataFrame:
     """A3: total due, flags; anomalous (number beyond term) is not invalid."""
     valid_loans = (
-        one_per_key(loans.where("is_valid"), "loan_id", ["term_months"])
-        .withColumnRenamed("term_months", "_term")
+        # The same copy of a loan as in the marts, so the same term.
+        one_per_key(loans.where("is_valid"), "loan_id", LOAN_ATTRIBUTES)
+        .select("loan_id", F.col("term_months").alias("_term"))
         .withColumn("_loan_ok", F.lit(True))
     )
     j = installments.join(valid_loans, "loan_id", "left")

@@ -115,16 +115,16 @@ register(
 register(
     "d4_existence_flag", BASE,
     """SELECT l.loan_id, vc.customer_id IS NOT NULL AS has_valid_customer
-       FROM raw_loans l LEFT JOIN valid_customer_keys vc ON l.customer_id = vc.customer_id""",
+       FROM raw_loans l LEFT JOIN trusted_customer vc ON l.customer_id = vc.customer_id""",
 )
 register("d5_cross_key_check", BASE,
          "SELECT payment_id, loan_id, is_orphan, is_loan_mismatch FROM stg_payments")
 register("d6_star_join", BASE + (RECAUDO,),
-         "SELECT payment_id, city, segment, due_date, aplica_mora FROM pagos_enriquecidos")
+         "SELECT payment_id, city, segment, due_date, aplica_mora FROM collected")
 register(
     "d7_join_preaggregated", MARTS,
-    """SELECT ic.installment_id, p.total_paid, p.num_payments FROM installments_clean ic
-       LEFT JOIN pagos_por_cuota p ON ic.installment_id = p.installment_id""",
+    """SELECT ic.installment_id, p.total_paid, p.num_payments FROM normal_installment ic
+       LEFT JOIN paid p ON ic.installment_id = p.installment_id""",
 )
 
 # --- 2.5 ------------------------------------------------------------------------

@@ -25,7 +25,7 @@ from lendlake.sources.raw import RawInputs
 class Settings:
     """The run parameters: analysis date (B8) and the accepted segments."""
 
-    analysis_date: _dt.date | str | None = K.DEFAULT_ANALYSIS_DATE
+    analysis_date: _dt.date | str | None = None  # today
     segments: Sequence[str] = field(default=K.SEGMENTS)
 
 

@@ -27,7 +27,7 @@ def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
     small ones and splits skewed join partitions), 256 MB scan splits, and a
     broadcast threshold that AQE applies to runtime sizes only."""
     target = 256 * 1024 * 1024
-    partitions = max(cores * 2, min(100_000, input_bytes // target))
+    partitions = max(cores * 2, input_bytes // target)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target // 2),
@@ -77,7 +77,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     path = tempfile.mkdtemp(prefix="lendlake-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(path)

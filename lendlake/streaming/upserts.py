@@ -15,25 +15,37 @@ import posixpath
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from lendlake.operators.incremental import upsert
+from lendlake.operators.incremental import read_if_there, upsert
 
-CURRENT = "_CURRENT"
+POINTERS = "_committed"
 
 
-def current_version(spark: SparkSession, target: str) -> str | None:
-    """Folder of the latest committed snapshot, from the pointer file."""
-    try:
-        rows = spark.read.text(posixpath.join(target, CURRENT)).collect()
-    except Exception:  # noqa: BLE001 - no snapshot yet
+def _version(batch_id: int) -> str:
+    return f"v{batch_id:010d}"
+
+
+def current_version(spark: SparkSession, target: str, before: str | None = None) -> str | None:
+    """Folder of the latest committed snapshot (older than ``before``).
+
+    Each commit writes a pointer of its own and none is ever overwritten, so a
+    crash at any point leaves the previous snapshot in place.
+    """
+    found = read_if_there(lambda: spark.read.text(posixpath.join(target, POINTERS, "*")))
+    if found is None:
         return None
-    return rows[-1].value.strip() if rows else None
+    if before is not None:
+        found = found.where(F.col("value") < before)
+    return found.agg(F.max("value")).first()[0]
 
 
-def read_snapshot(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
-    version = current_version(spark, target)
+def read_snapshot(
+    spark: SparkSession, target: str, schema: StructType, before: str | None = None
+) -> DataFrame:
+    version = current_version(spark, target, before)
     if version is None:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(posixpath.join(target, version))
@@ -43,14 +55,16 @@ def merge_batch(
     spark: SparkSession, batch: DataFrame, batch_id: int, target: str, key: str,
     order: Sequence[str],
 ) -> None:
-    """foreachBatch body: snapshot + batch -> new snapshot version."""
-    current = read_snapshot(spark, target, batch.schema)
+    """foreachBatch body: snapshot + batch -> new snapshot version. A replayed
+    batch starts from the version before its own, never from the folder that
+    it overwrites."""
+    version = _version(batch_id)
+    current = read_snapshot(spark, target, batch.schema, before=version)
     merged = upsert(current, batch, key, order)
-    version = f"v{batch_id:010d}"
     merged.write.mode("overwrite").parquet(posixpath.join(target, version))
     spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode(
         "overwrite"
-    ).text(posixpath.join(target, CURRENT))
+    ).text(posixpath.join(target, POINTERS, version))
 
 
 def start_upserts(

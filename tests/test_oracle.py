@@ -8,7 +8,9 @@ import decimal
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lendlake.oracle import oracle_sql
+from lendlake.plans.registry import queries
 from tests.conftest import SMOKE
 
 TABLES = ("customer", "nation", "orders", "lineitem", "events")
