@@ -70,7 +70,7 @@ BUCKET_BOUNDS = ((1, 30, BUCKET_1_30), (31, 60, BUCKET_31_60), (61, 90, BUCKET_6
 
 # Control thresholds from the quality evidence.
 MIN_VALID_RATE = 0.85
-MAX_ANOMALY_RATE = 0.02
+MAX_REJECTED_RATE = 0.02
 
 # --- End of fixed values ----------------------------------------------------
 

@@ -123,17 +123,42 @@ def touched_partitions(
     return parts.join(keys, key, "left_semi").select(partition_col).distinct()
 
 
+def _remove_partitions(emptied: DataFrame, path: str, partition_col: str) -> None:
+    """Delete the folders of the given partitions (a few names, one for each
+    partition that lost all its rows)."""
+    spark = emptied.sparkSession
+    jvm = spark.sparkContext._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in emptied.collect():
+        folder = names.getPartitionPathString(partition_col, row.value)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, folder), True)
+
+
 def rebuild_partitions(mart: DataFrame, touched: DataFrame, path: str, partition_col: str) -> None:
-    """K3: overwrite only the touched partitions of a partitioned mart table.
+    """K3: replace only the touched partitions of a partitioned mart table.
+
+    Touched partitions with rows are overwritten, those left without rows are
+    removed; each step can be repeated, so a failed rebuild is run again.
+    Rows are rebalanced by partition first, so a partition is a few files of
+    bounded size and a large one is split among tasks.
 
     Ageing columns depend on the analysis date, so rebuilt partitions carry the
     new date while untouched ones keep theirs; rebuild everything when the
     date moves. A touched NULL partition is rebuilt too. ``touched`` must come
-    from the new mart's keys, or partitions that the increment adds are missed.
+    from the keys of the old and the new mart, or partitions that the increment
+    empties or adds are missed.
     """
-    rows = mart.join(touched, mart[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
+    same = mart[partition_col].eqNullSafe(touched[partition_col])
+    rows = mart.join(touched, same, "left_semi")
+    filled = mart.select(F.col(partition_col).alias("_filled")).distinct()
+    emptied = touched.join(
+        filled, touched[partition_col].eqNullSafe(filled["_filled"]), "left_anti"
+    ).select(F.col(partition_col).cast("string").alias("value"))
+    _remove_partitions(emptied, path, partition_col)
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", partition_col).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path)

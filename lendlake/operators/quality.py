@@ -39,7 +39,8 @@ CONTROLS = {
     "C11": ("payments", "loan_id equals installment loan", WARNING),
     "C12": ("staging", "validity rate >= 85%", CRITICAL),
     "C13": ("dm_cartera", "installment_id unique", CRITICAL),
-    "C14": ("stg_installments", "anomaly rate <= 2%", WARNING),
+    "C14": ("stg_payments", "rejected rate <= 2%", WARNING),
+    "C15": ("loans", "loan_status in known domain", WARNING),
 }
 REQUIRED = {
     "customers": ("customer_id", "full_name", "city", "segment", "monthly_income"),
@@ -121,14 +122,16 @@ def customer_controls(customers: DataFrame) -> DataFrame:
 
 
 def loan_controls(loans: DataFrame, customers: DataFrame) -> DataFrame:
-    """C03 (foreign key) and C04 (positive principal) in one pass over loans."""
+    """C03 (foreign key), C04 (positive principal) and C15 (known status) in one
+    pass over loans."""
     j = loans.join(key_set(customers, "customer_id", "_has_customer"), "customer_id", "left")
     agg = j.agg(
         count_if(F.col("_has_customer").isNull()).alias("C03"),
         count_if(F.col("principal_amount").isNull() | (F.col("principal_amount") <= 0)).alias("C04"),
+        count_if(~clean_upper("loan_status").isin(*K.LOAN_STATUSES)).alias("C15"),
         F.count(F.lit(1)).alias("total"),
     )
-    return _rows(agg, ["C03", "C04"])
+    return _rows(agg, ["C03", "C04", "C15"])
 
 
 def installment_controls(installments: DataFrame, loans: DataFrame) -> DataFrame:
@@ -165,42 +168,34 @@ def payment_controls(payments: DataFrame, installments: DataFrame) -> DataFrame:
 
 
 def validity_rates(staged, min_rate: float = K.MIN_VALID_RATE) -> DataFrame:
-    """Share of valid rows per staging table against the threshold, and
-    the anomaly share of installments against its alert level."""
-    parts = []
-    for name in ("customers", "loans", "installments", "payments"):
-        df = getattr(staged, name)
-        parts.append(
-            df.agg(
-                F.lit("C12").alias("control_id"),
+    """Share of valid rows per staging table against the threshold (C12),
+    and the share of rejected payments against its alert level (C14). One
+    aggregate for each staging table gives every rate of that table."""
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            getattr(staged, name).agg(
                 F.lit(f"stg_{name}").alias("table_name"),
                 count_if(~F.col("is_valid")).cast("bigint").alias("failed"),
-                F.count(F.lit(1)).alias("total"),
+                F.count(F.lit(1)).cast("bigint").alias("total"),
             )
-        )
-    anomalies = staged.installments.agg(
-        F.lit("C14").alias("control_id"),
-        F.lit("stg_installments").alias("table_name"),
-        count_if(F.col("is_anomalous")).cast("bigint").alias("failed"),
-        F.count(F.lit(1)).alias("total"),
+            for name in ("customers", "loans", "installments", "payments")
+        ],
     )
-    rates = reduce(DataFrame.unionByName, parts + [anomalies])
+    every = F.array(F.lit("C12"))
+    ids = F.when(F.col("table_name") == CONTROLS["C14"][0], F.array(F.lit("C12"), F.lit("C14"))).otherwise(every)
+    rates = counts.withColumn("control_id", F.explode(ids))
+    is_validity = F.col("control_id") == "C12"
     share = F.col("failed").cast("double") / F.nullif(F.col("total"), F.lit(0)).cast("double")
-    ok = F.when(F.col("control_id") == "C12", (F.lit(1.0) - share) >= min_rate).otherwise(
-        share <= K.MAX_ANOMALY_RATE
-    )
+    ok = F.when(is_validity, (F.lit(1.0) - share) >= min_rate).otherwise(share <= K.MAX_REJECTED_RATE)
     return rates.select(
         "control_id",
         "table_name",
-        F.when(F.col("control_id") == "C12", CONTROLS["C12"][1]).otherwise(CONTROLS["C14"][1])
-        .alias("control"),
-        F.when(F.col("control_id") == "C12", CRITICAL).otherwise(WARNING).alias("severity"),
+        F.when(is_validity, CONTROLS["C12"][1]).otherwise(CONTROLS["C14"][1]).alias("control"),
+        F.when(is_validity, CRITICAL).otherwise(WARNING).alias("severity"),
         "failed",
-        F.col("total").cast("bigint").alias("total"),
-        F.when(F.coalesce(ok, F.lit(True)), "PASS")
-        .when(F.col("control_id") == "C12", "FAIL")
-        .otherwise("WARN")
-        .alias("status"),
+        "total",
+        F.when(F.coalesce(ok, F.lit(True)), "PASS").when(is_validity, "FAIL").otherwise("WARN").alias("status"),
     )
 
 
@@ -248,6 +243,23 @@ def reject_breakdown(payments: DataFrame) -> DataFrame:
     )
 
 
+def reason_class(reason: Column) -> Column:
+    """The constant part of a reason text: what precedes the quoted raw values."""
+    return F.regexp_extract(reason, r"^([^:(]*[^:( ])", 1)
+
+
+def reject_classes(payments: DataFrame) -> DataFrame:
+    """K14 by class of reason: a handful of groups, however many ids are quoted."""
+    return (
+        payments.where(~F.col("is_valid"))
+        .groupBy(reason_class(F.col("quality_issue")).alias("reason_class"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum("payment_amount").cast(K.MONEY_SUM).alias("amount"),
+        )
+    )
+
+
 def mart_statistics(staged, mart: DataFrame, summary: DataFrame) -> DataFrame:
     """Headline figures of the mart as (metric, value) rows."""
     val = K.MONEY_SUM

@@ -68,8 +68,10 @@ def collections_from_inputs(
     A valid payment must hit a valid, normal installment of its own loan, and
     the star join on the payment's loan drops a NULL loan (N20); so joining
     the payments that pass their own rules to the valid installments on
-    (installment_id, loan_id) gives exactly the valid, joined payments, and the
-    installment rows already carry the loan's customer attributes.
+    installment_id, with equal loans, gives exactly the valid, joined payments,
+    and the installment rows already carry the loan's customer attributes. The
+    loans are compared by two inequalities, which Spark keeps as a condition of
+    the join: as a join key they would move the installments a second time.
     """
     from lendlake.operators.marts import InputParts
 
@@ -77,11 +79,14 @@ def collections_from_inputs(
     inst = one_per_key(
         parts.normal_installments(), "installment_id",
         ["loan_id", "due_date", "installment_status", "city", "segment"],
-    )
+    ).withColumnsRenamed({"installment_id": "_inst_id", "loan_id": "_inst_loan"})
     j = parts.payments.select(
         "payment_id", "payment_date", "payment_amount", "payment_channel", "loan_id",
         "installment_id",
-    ).join(inst, ["installment_id", "loan_id"], "inner")
+    )
+    same_loan = j["loan_id"].between(inst["_inst_loan"], inst["_inst_loan"])
+    same_installment = j["installment_id"] == inst["_inst_id"]
+    j = j.join(inst, same_installment & same_loan, "inner").drop("_inst_id", "_inst_loan")
     return j.withColumn("aplica_mora", applied_to_arrears())
 
 

@@ -209,7 +209,7 @@ register(
 
 # --- 2.8 ------------------------------------------------------------------------
 register("h1_trim", BASE, f"SELECT customer_id, {_trim('full_name')} AS v FROM raw_customers")
-register("h2_upper", BASE, "SELECT loan_id, upper(product_type) AS v FROM raw_loans")
+register("h2_upper", BASE, "SELECT customer_id, upper(full_name) AS v FROM raw_customers")
 register("h3_lower", BASE, "SELECT customer_id, lower(city) AS v FROM raw_customers")
 register("h4_left", BASE, f"SELECT customer_id, left({_trim('city')}, 1) AS v FROM raw_customers")
 register("h5_substring", BASE, f"SELECT customer_id, substring({_trim('city')}, 2) AS v FROM raw_customers")
@@ -249,6 +249,8 @@ register("h15_date_diff", BASE,
 register("h16_date_literal", BASE,
          f"SELECT installment_status, count(*) AS rows FROM raw_installments WHERE due_date < {D} "
          "GROUP BY installment_status")
+register("h17_current_timestamp", BASE,
+         "SELECT customer_id, TRUE AS has_load_time, TRUE AS within_run FROM stg_customers")
 register(
     "h18_date_comparison", BASE,
     """SELECT p.payment_id, p.payment_date > i.due_date AS paid_late FROM stg_payments p
@@ -329,24 +331,26 @@ def _rate(table: str) -> str:
                       CAST(count(*) AS BIGINT) AS total FROM stg_{table}"""
 
 
+C15 = _ctrl("C15", "loans", "loan_status in known domain", "warning",
+            f"count(*) FILTER (upper({_trim('loan_status')}) NOT IN ('ACTIVE','CLOSED','DEFAULT'))",
+            "count(*)", "raw_loans")
+
 RATES = " UNION ALL ".join(_rate(t) for t in ("customers", "loans", "installments", "payments"))
-ANOMALY = """SELECT 'C14' AS control_id, 'stg_installments' AS table_name, 'anomaly rate <= 2%' AS control,
-                    'warning' AS severity,
-                    CAST(count(CASE WHEN is_anomalous THEN 1 END) AS BIGINT) AS failed,
-                    CAST(count(*) AS BIGINT) AS total FROM stg_installments"""
+REJECTED = _ctrl("C14", "stg_payments", "rejected rate <= 2%", "warning",
+                 "count(*) FILTER (NOT is_valid)", "count(*)", "stg_payments")
 VALIDITY = f"""SELECT control_id, table_name, control, severity, failed, total,
-       CASE WHEN coalesce(CASE WHEN control_id = 'C12'
-                               THEN 1.0 - CAST(failed AS DOUBLE) / nullif(CAST(total AS DOUBLE), 0) >= 0.85
-                               ELSE CAST(failed AS DOUBLE) / nullif(CAST(total AS DOUBLE), 0) <= 0.02 END, TRUE)
-            THEN 'PASS' WHEN control_id = 'C12' THEN 'FAIL' ELSE 'WARN' END AS status
-  FROM ({RATES} UNION ALL {ANOMALY})"""
+       CASE WHEN total = 0 THEN 'PASS'
+            WHEN control_id = 'C12' AND 1.0 - CAST(failed AS DOUBLE) / total < 0.85 THEN 'FAIL'
+            WHEN control_id = 'C14' AND CAST(failed AS DOUBLE) / total > 0.02 THEN 'WARN'
+            ELSE 'PASS' END AS status
+  FROM ({RATES} UNION ALL {REJECTED})"""
 
 register("k4_required_not_null", BASE, _with_status(C01))
 register("k5_unique_key", BASE, _with_status(C02))
 register(
     "k5_duplicated_keys", BASE,
-    """SELECT installment_id, count(*) AS copies FROM raw_installments
-       WHERE installment_id IS NOT NULL GROUP BY installment_id HAVING count(*) > 1""",
+    """SELECT loan_id, count(*) AS copies FROM raw_installments
+       WHERE loan_id IS NOT NULL GROUP BY loan_id HAVING count(*) > 1""",
 )
 register("k6_foreign_key", BASE, _with_status(C03))
 register("k7_positive_amount", BASE, _with_status(C08))
@@ -360,10 +364,16 @@ register(
 )
 register("k10_channel_not_null", BASE, _with_status(C09))
 register("k11_loan_consistency", BASE, _with_status(C11))
+register("k9_known_loan_status", BASE, _with_status(C15))
+register(
+    "k9_unknown_loan_status", BASE,
+    """SELECT loan_status AS value, count(*) AS rows FROM raw_loans
+       WHERE loan_status IS NULL OR loan_status NOT IN ('ACTIVE', 'CLOSED') GROUP BY loan_status""",
+)
 register("k12_validity_rate", BASE, VALIDITY)
 register(
     "k13_control_report", MARTS,
-    " UNION ALL ".join(_with_status(c) for c in (C01, C02, C03, C04, C05, C06, C07, C08, C09, C10, C11))
+    " UNION ALL ".join(_with_status(c) for c in (C01, C02, C03, C04, C05, C06, C07, C08, C09, C10, C11, C15))
     + f" UNION ALL {VALIDITY} UNION ALL {_with_status(C13)}",
 )
 register(
@@ -371,6 +381,15 @@ register(
     f"""SELECT quality_issue, count(*) AS rows, CAST(sum(payment_amount) AS {M38}) AS amount
         FROM stg_payments WHERE is_valid = FALSE GROUP BY quality_issue""",
 )
+register(
+    "k14_reject_classes", BASE,
+    f"""SELECT c AS reason_class, count(*) AS rows, CAST(sum(payment_amount) AS {M38}) AS amount
+        FROM stg_payments
+        JOIN (VALUES ('Pago revertido'), ('Pago pendiente de confirmación'), ('Monto cero o negativo'),
+                     ('installment_id no existe'), ('loan_id del pago')) k(c)
+          ON starts_with(quality_issue, c)
+        WHERE NOT is_valid GROUP BY c""",
+)
 register(
     "k15_mart_statistics", MARTS + (RESUMEN,),
     f"""SELECT 'valid_customers' AS metric,
@@ -442,3 +461,4 @@ register(
     f"""SELECT DISTINCT cohort_month FROM dm_cartera
         WHERE loan_id IN (SELECT loan_id FROM raw_payments WHERE loaded_at > {PAY_MARK})""",
 )
+register("k3_rebuilt_mart", MARTS, "SELECT * FROM dm_cartera")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlake.session import checkpoint_dir
@@ -47,6 +47,8 @@ def table_root(spark: SparkSession) -> str:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """CREATE OR REPLACE TABLE ... AS (B4): overwrite the table's folder."""
+    if partition_by:  # a few files a partition, large partitions split among tasks
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -60,7 +62,3 @@ def materialize(spark: SparkSession, name: str, df: DataFrame, load_time: str |
     write_table(with_load_time(df, load_time) if load_time else df, path)
     stored = spark.read.parquet(path)
     return stored.drop(load_time) if load_time else stored
-
-
-def load_time_column() -> Column:
-    return F.current_timestamp()

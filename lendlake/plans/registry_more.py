@@ -5,6 +5,7 @@ that exercises one inventory id through the library's own building blocks."""
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from lendlake.operators import incremental as inc
 from lendlake.operators import quality as qc
 from lendlake.operators import views
 from lendlake.operators.keys import key_set, one_per_key
-from lendlake.operators.marts import arrears_sums, payments_per_installment
+from lendlake.operators.marts import arrears_sums, dm_cartera_from_inputs, payments_per_installment
 from lendlake.operators.ranking import global_row_number
 from lendlake.plans import catalog
 from lendlake.plans.layers import Settings
@@ -327,7 +328,7 @@ query("g4_topk_rank_filter")(
 # --- 2.8 scalar functions --------------------------------------------------------
 
 query("h1_trim")(lambda c: c.raw.customers.select("customer_id", trim_ws("full_name").alias("v")))
-query("h2_upper")(lambda c: c.raw.loans.select("loan_id", F.upper("product_type").alias("v")))
+query("h2_upper")(lambda c: c.raw.customers.select("customer_id", F.upper("full_name").alias("v")))
 query("h3_lower")(lambda c: c.raw.customers.select("customer_id", F.lower("city").alias("v")))
 query("h4_left")(
     lambda c: c.raw.customers.select("customer_id", F.substring(trim_ws("city"), 1, 1).alias("v"))
@@ -388,9 +389,20 @@ query("h16_date_literal")(
         F.count(F.lit(1)).alias("rows")
     )
 )
-query("h17_current_timestamp")(
-    lambda c: catalog.with_load_time(c.staged.customers, "_stg_loaded_at")
-)
+
+
+@query("h17_current_timestamp")
+def _h17(c: Ctx):
+    """Load time added at the sink: present, and not before the run began."""
+    began = F.lit(_dt.datetime.now(_dt.timezone.utc))
+    stamped = catalog.with_load_time(c.staged.customers, "_stg_loaded_at")
+    return stamped.select(
+        "customer_id",
+        F.col("_stg_loaded_at").isNotNull().alias("has_load_time"),
+        (F.col("_stg_loaded_at") >= began).alias("within_run"),
+    )
+
+
 
 
 @query("h18_date_comparison")
@@ -405,7 +417,7 @@ def _h18(c: Ctx):
 
 query("k4_required_not_null")(lambda c: qc.customer_controls(c.raw.customers).where("control_id = 'C01'"))
 query("k5_unique_key")(lambda c: qc.customer_controls(c.raw.customers).where("control_id = 'C02'"))
-query("k5_duplicated_keys")(lambda c: qc.duplicated_keys(c.raw.installments, "installment_id"))
+query("k5_duplicated_keys")(lambda c: qc.duplicated_keys(c.raw.installments, "loan_id"))
 query("k6_foreign_key")(
     lambda c: qc.loan_controls(c.raw.loans, c.raw.customers).where("control_id = 'C03'")
 )
@@ -427,9 +439,17 @@ query("k10_channel_not_null")(
 query("k11_loan_consistency")(
     lambda c: qc.payment_controls(c.raw.payments, c.raw.installments).where("control_id = 'C11'")
 )
+query("k9_known_loan_status")(
+    lambda c: qc.loan_controls(c.raw.loans, c.raw.customers).where("control_id = 'C15'")
+)
+query("k9_unknown_loan_status")(
+    # The domain without one of its values, so that the list isn't empty.
+    lambda c: qc.unknown_values(c.raw.loans, "loan_status", K.LOAN_STATUSES[:-1])
+)
 query("k12_validity_rate")(lambda c: qc.validity_rates(c.staged))
 query("k13_control_report")(lambda c: qc.control_report(c.raw, c.staged, c.mart))
 query("k14_reject_breakdown")(lambda c: qc.reject_breakdown(c.staged.payments))
+query("k14_reject_classes")(lambda c: qc.reject_classes(c.staged.payments))
 query("k15_mart_statistics")(lambda c: qc.mart_statistics(c.staged, c.mart, c.summary))
 
 # --- 2.11 incremental ----------------------------------------------------------------
@@ -469,3 +489,20 @@ query("k3_touched_partitions")(
         c.mart, inc.new_rows(c.raw.payments, "loaded_at", PAYMENTS_MARK), "loan_id", "cohort_month"
     )
 )
+
+
+@query("k3_rebuilt_mart")
+def _k3r(c: Ctx):
+    """A stored mart as of the mark, with the partitions touched by the later
+    payments rebuilt in place, read back whole."""
+    raw, mark = c.raw, inc.as_mark(PAYMENTS_MARK)
+    before = dm_cartera_from_inputs(
+        raw.customers, raw.loans, raw.installments, raw.payments.where(F.col("loaded_at") <= mark),
+        TEST_SETTINGS.analysis_date, TEST_SETTINGS.segments,
+    )
+    path = f"{catalog.table_root(c.spark)}/dm_cartera-{uuid.uuid4().hex}"
+    catalog.write_table(before, path, ["cohort_month"])
+    new = inc.new_rows(raw.payments, "loaded_at", PAYMENTS_MARK)
+    touched = inc.touched_partitions(c.mart, new, "installment_id", "cohort_month")
+    inc.rebuild_partitions(c.mart, touched, path, "cohort_month")
+    return c.spark.read.schema(c.mart.schema).parquet(path).select(*c.mart.columns)

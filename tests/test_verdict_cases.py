@@ -2,16 +2,22 @@
 
 import datetime as dt
 from decimal import Decimal as D
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from lendlake import constants as K
-from lendlake.operators import incremental, marts
+from lendlake.operators import incremental as inc
+from lendlake.operators import marts
+from lendlake.operators import quality as qc
 from lendlake.plans.layers import Settings, build_marts, stage
+from lendlake.plans.registry import queries
 from lendlake.session import cluster_conf
 from lendlake.sources.raw import literal_inputs
 from lendlake.streaming import upserts
+from tests.conftest import SMOKE
 
 DAY = dt.date(2025, 1, 10)
 
@@ -29,7 +35,7 @@ def test_upsert_keeps_rows_without_key(spark):
     schema = "k long, ts int, v string"
     old = spark.createDataFrame([(1, 1, "a"), (None, 1, "x")], schema)
     new = spark.createDataFrame([(1, 2, "b"), (None, 2, "y"), (3, 1, "c")], schema)
-    got = sorted(map(tuple, incremental.upsert(old, new, "k", ["ts"]).collect()), key=str)
+    got = sorted(map(tuple, inc.upsert(old, new, "k", ["ts"]).collect()), key=str)
     assert got == sorted([(1, 2, "b"), (3, 1, "c"), (None, 1, "x"), (None, 2, "y")], key=str)
 
 
@@ -46,10 +52,10 @@ def test_replayed_batch_starts_from_the_version_before_it(spark, tmp_path):
 
 def test_read_errors_are_not_taken_for_nothing_stored(spark, tmp_path):
     default = dt.datetime(2000, 1, 1)
-    assert incremental.read_mark(spark, str(tmp_path / "none"), default) == default
+    assert inc.read_mark(spark, str(tmp_path / "none"), default) == default
 
     with pytest.raises(AnalysisException):
-        incremental.read_if_there(lambda: spark.table("no_such_table"))
+        inc.read_if_there(lambda: spark.table("no_such_table"))
 
 
 def test_copies_of_parents_lose_nothing_valid(spark):
@@ -76,3 +82,65 @@ def test_copies_of_parents_lose_nothing_valid(spark):
     assert paid["I1"] == 57.0 and "I8" in paid
     plan = single._jdf.queryExecution().optimizedPlan().toString()
     assert "_paid" in plan  # payments are summed before they meet the join
+
+
+def test_rebuild_of_null_emptied_and_new_partitions(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    schema = "id int, cohort date"
+    jan, feb, mar, apr = (dt.date(2025, m, 1) for m in (1, 2, 3, 4))
+    spark.createDataFrame([(1, jan), (2, feb), (3, None), (4, mar)], schema).write.partitionBy("cohort").parquet(path)
+    new = spark.createDataFrame([(1, jan), (5, None), (6, apr), (4, mar)], schema)
+    touched = spark.createDataFrame([(feb,), (None,), (apr,)], "cohort date")
+    for _ in range(2):  # a repeated rebuild changes nothing
+        inc.rebuild_partitions(new, touched, path, "cohort")
+        got = {(r.id, r.cohort) for r in spark.read.schema(schema).parquet(path).collect()}
+        assert got == {(1, jan), (5, None), (6, apr), (4, mar)}
+
+
+def test_rebuild_writes_few_files(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    mart = spark.range(1000).select("id", (F.col("id") % 3).alias("p")).repartition(8)
+    inc.rebuild_partitions(mart, mart.select("p").distinct(), path, "p")
+    assert spark.read.parquet(path).count() == 1000
+    assert len(list((tmp_path / "mart").rglob("*.parquet"))) <= 3
+
+
+def test_collections_move_installments_once(spark):
+    """The join compares loans as a condition, so its only key is the
+    installment, by which the installments are dealt already."""
+    df = queries()["a9_vw_recaudo_diario"](spark, SMOKE)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [line for line in plan.splitlines() if "Join" in line and "_inst_id" in line]
+    assert joins and all("[installment_id" in j and "[_inst_id" in j and "loan_id#" in j for j in joins)
+    assert not any("_inst_loan" in j.split("]")[1] for j in joins)
+
+
+def test_rates_and_statuses(spark):
+    flags = lambda *v: spark.createDataFrame([(x,) for x in v], "is_valid boolean")
+    staged = SimpleNamespace(
+        customers=flags(True), loans=flags(*[True] * 5, False), installments=flags(True),
+        payments=flags(*[True] * 97, *[False] * 3),
+    )
+    got = {(r.control_id, r.table_name): r.status for r in qc.validity_rates(staged).collect()}
+    assert got[("C14", "stg_payments")] == "WARN" and got[("C12", "stg_payments")] == "PASS"
+    assert got[("C12", "stg_loans")] == "FAIL" and len(got) == 5
+    loans = spark.createDataFrame(
+        [(1, 1, 5, " active"), (2, 1, 5, "FROZEN"), (3, 1, 5, None)],
+        "loan_id int, customer_id int, principal_amount int, loan_status string",
+    )
+    customers = spark.createDataFrame([(1,)], "customer_id int")
+    failed = {r.control_id: r.failed for r in qc.loan_controls(loans, customers).collect()}
+    assert failed == {"C03": 0, "C04": 0, "C15": 1}  # NULL counts as known, as in staging
+
+
+def test_reason_classes(spark):
+    texts = [
+        ("Pago revertido", "Pago revertido"), ("installment_id no existe: 7-1", "installment_id no existe"),
+        ("loan_id del pago (9) no coincide con loan de la cuota", "loan_id del pago"), (None, None),
+    ]
+    df = spark.createDataFrame(texts, "t string, want string").withColumn("got", qc.reason_class(F.col("t")))
+    assert all(r.got == r.want for r in df.collect())
