@@ -72,7 +72,8 @@ def base_spans(text: str) -> list[Span]:
     """Base identifiers by kind, then start."""
     out: list[Span] = [("email", a, b) for a, b in emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        parts = [p.lstrip("0") for p in m.group().split(".")]
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 16 and 16 <= len(d := _digits(m.group())) <= 19 and luhn(d):

@@ -90,11 +90,15 @@ def _valid(batches: Iterator[list]) -> Iterator[list]:
 def _entries(batches: Iterator[list]) -> Iterator[list]:
     for reps, copies, vecs, sizes in batches:
         rows = []
-        for rep, m, v, n in zip(reps, copies, vecs, sizes):
-            x = np.frombuffer(v)
-            bits, tables = tables_for(n, len(x))
-            _, signs, _ = codes((x / np.linalg.norm(x))[None, :])
-            rows += [(rep, m, v, n, t, k) for t, k in enumerate(keys_of(signs, bits, tables)[0].tolist())]
+        alike: dict[tuple[int, int], list[int]] = {}  # rows whose keys are made alike
+        for r, (v, n) in enumerate(zip(vecs, sizes)):
+            alike.setdefault((n, len(v)), []).append(r)
+        for (n, _), part in alike.items():
+            x = np.stack([np.frombuffer(vecs[r]) for r in part])
+            bits, tables = tables_for(n, x.shape[1])
+            _, signs, _ = codes(x / np.linalg.norm(x, axis=1, keepdims=True))
+            for r, keys in zip(part, keys_of(signs, bits, tables).tolist()):
+                rows += [(reps[r], copies[r], vecs[r], n, t, k) for t, k in enumerate(keys)]
         yield rows
 
 
