@@ -1,15 +1,17 @@
 """Bounded-space online best-fit packing of token sequences (op8).
 
 Documents are tokenised, ended with id 0, and only those longer than a
-sequence are cut. Pieces are spread over partitions by hash, sorted there by
-falling length (Spark's spilling sort), and packed online: each goes to the
-open bin with the least free space that holds it. The open bins are kept by
+sequence are cut. Pieces are spread over partitions by hash, put there in hash
+order (Spark's spilling sort), and packed online: each goes to the open bin
+with the least free space that holds it. They come in runs of RUN pieces, each
+by falling length, so that every run mixes lengths and the short pieces of one
+fill the bins that its long ones opened, however large the partition. The open bins are kept by
 free space, with a bitset of the spaces that occur, so a placement costs a
 shift and the lowest set bit. At most ``open_bins`` are open; when another is
 needed the fullest is closed. Only placements move, never texts or ids.
 
-Cases: a null or empty text is the end id alone; equal lengths go by doc_id
-and piece; repeated documents are packed each; a row without doc_id is packed
+Cases: a null or empty text is the end id alone; equal lengths of a run go in
+hash order; repeated documents are packed each; a row without doc_id is packed
 like any other; an empty table gives no rows; other columns are ignored.
 """
 
@@ -26,6 +28,8 @@ from lendlake.llm.tokens import crc32, default_path, encoder, ids_of, pieces
 
 CAPACITY = 2048
 OPEN_BINS = 1024
+#: Pieces that are sorted by length at a time: few enough that the bins they open stay open.
+RUN = 1024
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -65,6 +69,19 @@ class BestFit:
         return number, self.capacity - free
 
 
+def runs(batches: Iterator[list], length: int) -> Iterator[list[tuple]]:
+    """The rows of ``batches`` in runs of RUN, each by falling length (the
+    column of that number)."""
+    rows: list[tuple] = []
+    for columns in batches:
+        rows += zip(*columns)
+        while len(rows) >= RUN:
+            yield sorted(rows[:RUN], key=lambda r: -r[length])
+            del rows[:RUN]
+    if rows:
+        yield sorted(rows, key=lambda r: -r[length])
+
+
 def tokenised(docs: DataFrame, size: int, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """One row for each piece of at most ``size`` ids (binary, little-endian
     unsigned 32-bit, if asked for)."""
@@ -91,21 +108,20 @@ def pack(
 ) -> DataFrame:
     """The pieces with their place: sequence_id and offset."""
     found = tokenised(docs, capacity, path, with_ids)
-    names = found.columns
+    at = found.columns.index("length")
 
     def placed(batches: Iterator[list]) -> Iterator[list]:
         bins = BestFit(capacity, open_bins)
         base = TaskContext.get().partitionId() << 40
-        for columns in batches:
+        for run in runs(batches, at):
             rows = []
-            for row in zip(*columns):
-                number, offset = bins.place(row[names.index("length")])
+            for row in run:
+                number, offset = bins.place(row[at])
                 rows.append((*row, base + number, offset))
             yield rows
 
-    spread = found.repartition(F.xxhash64("doc_id", "piece", "ids_crc32")).sortWithinPartitions(
-        F.desc("length"), "doc_id", "piece"
-    )
+    mixed = F.xxhash64("doc_id", "piece", "ids_crc32")
+    spread = found.repartition(mixed).sortWithinPartitions(mixed, "doc_id", "piece")
     return map_rows(spread, placed, _PIECES + ", ids binary" * with_ids + ", sequence_id long, offset long")
 
 

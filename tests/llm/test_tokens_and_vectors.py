@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -73,6 +74,30 @@ def test_packing_is_close_to_the_bound(spark):
     assert len({x.sequence_id for x in got}) <= 1.1 * total / 2048 + 4
 
 
+def test_large_partitions_pack_as_close(spark, monkeypatch):
+    n = 120_000  # one partition; a third of the pieces is longer than half a sequence
+    part = F.pmod(F.xxhash64("id"), F.lit(3000)) / 3000
+    length = F.when(part < 0.33, 1025 + part / 0.33 * 1023).otherwise(1 + (part - 0.33) / 0.67 * 700).cast("long")
+    found = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+        length.alias("length"), F.col("id").alias("ids_crc32"),
+    )
+    monkeypatch.setattr(packing, "tokenised", lambda *_: found)
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = packing.pack(found).select("sequence_id", "length", "offset").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    filled = defaultdict(int)
+    for x in got:
+        filled[x.sequence_id] += x.length
+    total = sum(filled.values())
+    assert len(got) == n and max(filled.values()) <= 2048
+    bound = max(-(-total // 2048), sum(x.length > 1024 for x in got))
+    assert len(filled) <= 1.02 * bound
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 64, 1000, 4097])
 def test_slots_are_a_permutation_told_by_the_key(n):
     a = training_order.slots(np.arange(n), n, 1)
