@@ -9,8 +9,9 @@ sizes: its cosine must reach LOOSE times the least one of the training texts
 of its band or a larger one.
 
 Learned from rows with text and lang outside the held-out fold: document
-frequencies over all of them, the centroids on a sample by hash of about
-SAMPLE texts a language (a documented bound; the prediction covers all rows).
+frequencies and the least cosines over all of them, the centroids on a sample
+by hash of about SAMPLE texts a language (a documented bound; the prediction
+covers all rows).
 
 Cases: a null text or one without a letter is ``und`` with score 0 and
 rejected, as is every text if nothing could be learned; ties go to the
@@ -103,19 +104,46 @@ class Model:
     def __init__(self, idf: np.ndarray, langs: list[str], centroids: np.ndarray, limits: np.ndarray):
         self.idf, self.langs, self.centroids, self.limits = idf, langs, centroids, limits
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
-        """(language, cosine, rejected) of each text."""
-        out = [(UNKNOWN, 0.0, True)] * len(texts)
+    def nearest(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, float]]:
+        """(number, band, nearest centroid, cosine) of each text with a letter."""
         use = [k for k, t in enumerate(texts) if self.langs and has_letter(t)]
         for lo in range(0, len(use), 256):
             part = use[lo : lo + 256]
             x, sizes = vectors([texts[k] for k in part], self.idf)
             for k, n, row in zip(part, sizes, x @ self.centroids.T):
                 j = int(row.argmax())
-                score = float(min(1.0, max(0.0, row[j])))
-                out[k] = (self.langs[j], score, score < self.limits[band(n)])
+                yield k, band(n), j, float(min(1.0, max(0.0, row[j])))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """(language, cosine, rejected) of each text."""
+        out = [(UNKNOWN, 0.0, True)] * len(texts)
+        for k, b, j, score in self.nearest(texts):
+            out[k] = (self.langs[j], score, score < self.limits[b])
         return out
 
+    def lower(self, least: np.ndarray, texts: list[str | None]) -> None:
+        """Lower the least cosines by band to those of ``texts``."""
+        for _, b, _, score in self.nearest(texts):
+            least[b] = min(least[b], score)
+
+
+def _least(rows: DataFrame, model: Model) -> np.ndarray:
+    """The least cosine to the nearest centroid by band, over all ``rows``; 1
+    where a band has none. Texts without a letter don't count."""
+    sent = rows.sparkSession.sparkContext.broadcast((model.idf, model.langs, model.centroids, model.limits))
+
+    def part(batches: Iterator[list]) -> Iterator[list]:
+        least = np.full(BANDS, 1.0)
+        for (texts,) in batches:
+            Model(*sent.value).lower(least, texts)
+        yield list(enumerate(least.tolist()))
+
+    found = map_rows(rows.select("text"), part, "band int, least double").groupBy("band").agg(F.min("least"))
+    out = np.full(BANDS, 1.0)
+    for b, y in found.collect():  # one row for each band
+        out[b] = y
+    return out
+
 
 def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     """The model of ``docs`` (doc_id, text, lang)."""
@@ -137,22 +165,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     picked = rows.where(part < rates[F.col("lang")])
 
     def clustered(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x, sizes = vectors(pdf.sort_values("doc_id")["text"].tolist(), idf)
-        c = cluster(x, k)
-        least = np.full(BANDS, 1.0)
-        np.minimum.at(least, [band(n) for n in sizes], (x @ c.T).max(1))
-        return pd.DataFrame({
-            "lang": key[0], "centroid": [y.astype("<f4").tobytes() for y in c], "least": least.tobytes(),
-        })
+        x, _ = vectors(pdf.sort_values("doc_id")["text"].tolist(), idf)
+        return pd.DataFrame({"lang": key[0], "centroid": [y.astype("<f4").tobytes() for y in cluster(x, k)]})
 
-    fitted = picked.groupBy("lang").applyInPandas(clustered, "lang string, centroid binary, least binary")
+    fitted = picked.groupBy("lang").applyInPandas(clustered, "lang string, centroid binary")
     out = sorted(fitted.collect())  # k rows for each language
     if not out:
         return Model(idf, [], np.zeros((0, DIM), np.float32), np.zeros(BANDS))
     c = np.stack([np.frombuffer(r["centroid"], "<f4") for r in out])
-    least = np.min([np.frombuffer(r["least"]) for r in out], axis=0)
+    langs = [r["lang"] for r in out]
+    least = _least(rows, Model(idf, langs, c, np.zeros(BANDS)))
     limits = LOOSE * np.minimum.accumulate(least[::-1])[::-1]
-    return Model(idf, [r["lang"] for r in out], c, limits * (limits < LOOSE))
+    return Model(idf, langs, c, limits * (limits < LOOSE))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

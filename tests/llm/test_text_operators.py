@@ -155,6 +155,17 @@ def test_language_on_held_out_rows(spark):
     assert {x.lang_pred for x in langid.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_limits_come_from_all_training_rows(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+    short = [(10_000 + k, " ".join(t.split()[k % 7 : k % 7 + 1 + k % 2]), lang) for k, (_, t, lang) in enumerate(rows)]
+    fed = documents(spark, rows + short).cache()
+    out = langid.predict(fed, langid.fit(fed, sample=10)).collect()
+    lettered = {i for i, t, _ in rows + short if langid.has_letter(t)}
+    learned = [x for x in out if x.doc_id in lettered and not x.held_out]
+    assert len(learned) > 100 and not any(x.rejected for x in learned)
+
+
 def test_licence_rules(spark):
     mit = " ".join(s + "." for k in ("MITGrant", "MITNotice") for s in licenses.SENTENCES[k])
     rows = [
