@@ -6,8 +6,9 @@ source characters it stands for: homoglyphs and full-width forms to ASCII,
 invisible characters to nothing, runs of spelled digits (English, Spanish,
 French, German) to digits, "(at)", "[dot]" and " at ... dot ..." to "@" and ".".
 The same detectors run over the rewritten text; what they find that touches a
-rewritten piece, and overlaps no base identifier of its kind, is mapped back
-to source offsets and added. Base identifiers always stay.
+rewritten piece, and lies in no base identifier of its kind, is mapped back
+to source offsets and added. Base identifiers always stay, also beside a longer
+one that goes on in disguise ("+44 20 7946 zero nine five eight").
 
 Offsets are code points, ends exclusive. A text is rewritten only if a scan
 finds a disguise in it; the scans read the whole text.
@@ -142,7 +143,12 @@ _TOP_LEVEL = frozenset(
     " cl pe au nz in jp cn kr ru ua pl cz sk hu ro bg gr tr se no dk fi is lu example test".split()
 )
 _MARK = re.compile(rf"{_BOXED_AT}|{_BOXED_DOT}|\x20(?:at|arroba)\x20|\x20?@\x20?|\x20(?:dot|punto|point|punkt)\x20", re.IGNORECASE)
-_AT_HINT = re.compile(rf"{_BOXED_AT}|\x20(?:at|arroba)\x20[^\n@]{{1,80}}?(?:dot|punto|point|punkt)|@[^\n@]{{1,80}}?(?:dot|punto|point|punkt)", re.IGNORECASE)
+#: What any disguised address has: a mark that the rewriting of addresses changes, and an at.
+_DISGUISED_MARK = re.compile(rf"{_BOXED_AT}|{_BOXED_DOT}|\x20@|@\x20|\x20(?:dot|punto|point|punkt)\x20", re.IGNORECASE)
+_ANY_AT = re.compile(rf"@|{_BOXED_AT}|\x20(?:at|arroba)\x20", re.IGNORECASE)
+#: An address whose only disguise is a space beside its at needs an ending that a domain can have.
+_SPACED_AT = re.compile(r"\x20@|@\x20")
+_ENDING = re.compile(r"(?:[a-z]{2,}|xn--[a-z0-9-]+)\Z", re.IGNORECASE)
 
 
 def _plain(c: str) -> str:
@@ -242,11 +248,13 @@ def rewrite(text: str) -> Rewritten | None:
         if changes:
             out = (out or Rewritten(text)).replace(changes)
             now = out.text
-    if _AT_HINT.search(now):
+    if _DISGUISED_MARK.search(now) and _ANY_AT.search(now):
         changes = []
         for m in _ADDRESS.finditer(now):
             if _BARE_AT.search(m.group()) and re.split("[^a-z0-9-]", m.group().lower())[-1] not in _TOP_LEVEL:
                 continue  # a sentence such as "look at the dot on it"
+            if _SPACED_AT.search(m.group()) and not _ENDING.search(re.split("[^A-Za-z0-9-]", m.group())[-1]):
+                continue  # a price such as "5 @ 3.50"
             for k in _MARK.finditer(now, *m.span()):
                 sign = "@" if "@" in k.group() or re.search("at|arroba", k.group(), re.IGNORECASE) else "."
                 if k.group() != sign:
@@ -266,7 +274,7 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     for kind, a, b in base_spans(plain.text):
         if plain.touched(a, b):
             start, end = plain.back(a, b)
-            if not any(k == kind and s < end and start < e for k, s, e in base):
+            if not any(k == kind and s <= start and end <= e for k, s, e in base):
                 more.append((kind, start, end))
     return base, sorted(base + more, key=lambda x: (KINDS.index(x[0]), x[1]))
 

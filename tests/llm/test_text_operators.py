@@ -114,6 +114,26 @@ def test_disguised_identifiers_map_back_to_the_source(text, kind, plain):
     assert set(base) <= set(spans)
 
 
+@pytest.mark.parametrize(
+    "text,kind,plain",
+    [
+        ("mail john@example[.]com now", "email", "john@example[.]com"),
+        ("mail john at example[.]com now", "email", "john at example[.]com"),
+        ("mail john @ example.com now", "email", "john @ example.com"),
+        ("mail john @example(.)co(.)uk now", "email", "john @example(.)co(.)uk"),
+        ("call +44 20 7946 zero nine five eight now", "phone", "+44 20 7946 zero nine five eight"),
+    ],
+)
+def test_every_disguise_of_the_grammar_opens_the_gate(text, kind, plain):
+    base, spans = pii.all_spans(text)
+    assert (kind, plain) in [(k, text[a:b]) for k, a, b in spans] and set(base) <= set(spans)
+    assert pii.redacted(text) == text.replace(plain, f"[{kind.upper()}]")
+
+
+def test_prices_are_no_addresses():
+    assert pii.all_spans("2 lbs @ 3.50 each, (dot) 40 @ 1.25, and at most 7 point 5") == ([], [])
+
+
 @pytest.mark.parametrize(
     "text",
     [
