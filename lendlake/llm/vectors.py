@@ -8,9 +8,10 @@ estimate of the cosine, within EPSILON sqrt((1 - f^2) / f^2 / (D - 1)) with very
 probability. Pairs whose upper bound reaches the threshold are recomputed exactly in
 double precision; only those that reach it link.
 
-Candidates: several tables, each keyed by some bits of the code; the number of
-bits follows the label's size, and the number of tables is such that a pair at
-the threshold shares a key with probability RECALL. A pair is looked at in the first
+Candidates: several tables, each keyed by the signs of fresh random projections, so
+that tables miss independently of each other; the number of bits follows the label's
+size, and the number of tables is such that a pair at the threshold shares a key with
+probability RECALL, at any size. A pair is looked at in the first
 table that it shares only. Groups larger than BLOCK are compared by pairs of
 blocks, so no group is ever in one task. What leaves a task are link counts and
 one edge for each linked vector, not pairs.
@@ -65,13 +66,17 @@ def tables_for(n: int, dim: int) -> tuple[int, int]:
     return bits, 1 if bits == 0 else math.ceil(math.log(1 - RECALL) / math.log(1 - agree))
 
 
-def keys_of(signs: np.ndarray, bits: int, tables: int) -> np.ndarray:
-    """Each vector's key in each table: random bits of its code."""
-    random = np.random.RandomState(SEED + 1)
-    out = np.zeros((len(signs), tables), np.int64)
-    for t in range(tables):
-        for d in random.choice(signs.shape[1], bits, replace=False):
-            out[:, t] = out[:, t] << 1 | (signs[:, d] > 0)
+@functools.cache
+def planes(dim: int, bits: int, tables: int) -> np.ndarray:
+    """The same independent normal directions everywhere: (table, dim, bit)."""
+    return np.random.RandomState(SEED + 1).normal(size=(tables, dim, bits))
+
+
+def keys_of(unit: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """Each vector's key in each table: its sides of the table's planes."""
+    out = np.zeros((len(unit), tables), np.int64)
+    for t, p in enumerate(planes(unit.shape[1], bits, tables)):
+        out[:, t] = (unit @ p > 0) @ (np.int64(1) << np.arange(bits))
     return out
 
 
@@ -96,8 +101,8 @@ def _entries(batches: Iterator[list]) -> Iterator[list]:
         for (n, _), part in alike.items():
             x = np.stack([np.frombuffer(vecs[r]) for r in part])
             bits, tables = tables_for(n, x.shape[1])
-            _, signs, _ = codes(x / np.linalg.norm(x, axis=1, keepdims=True))
-            for r, keys in zip(part, keys_of(signs, bits, tables).tolist()):
+            unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+            for r, keys in zip(part, keys_of(unit, bits, tables).tolist()):
                 rows += [(reps[r], copies[r], vecs[r], n, t, k) for t, k in enumerate(keys)]
         yield rows
 
@@ -109,7 +114,7 @@ def _compared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     x = np.stack([np.frombuffer(v) for v in pdf["vec"]])
     norm = np.linalg.norm(x, axis=1)
     rotated, signs, f = codes(x / norm[:, None])
-    keys = keys_of(signs, *tables_for(int(pdf["n"].iloc[0]), x.shape[1]))
+    keys = keys_of(x / norm[:, None], *tables_for(int(pdf["n"].iloc[0]), x.shape[1]))
     rep, m, block = pdf["rep"].to_numpy(), pdf["m"].to_numpy(), pdf["block"].to_numpy()
     bound = EPSILON * np.sqrt(np.maximum(0, 1 - f**2) / f**2 / max(1, x.shape[1] - 1))
     links = np.zeros(len(rep), np.int64)

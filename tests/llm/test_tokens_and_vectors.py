@@ -183,6 +183,19 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, group, block):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [50_000, 1_000_000, 10_000_000])
+def test_pairs_at_the_threshold_share_a_key(n):
+    rng = np.random.RandomState(3)
+    x, y = rng.normal(size=(2, 20_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    z = vectors.THRESHOLD * x + math.sqrt(1 - vectors.THRESHOLD**2) * y
+    how = vectors.tables_for(n, 64)
+    shared = (vectors.keys_of(x, *how) == vectors.keys_of(z, *how)).any(1).mean()
+    assert shared >= 0.985, (how, shared)
+
+
 def test_code_estimates_are_unbiased_and_bounded():
     rng = np.random.RandomState(0)
     x = rng.normal(size=(400, 64))
