@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendlake.llm import ctw, decontaminate, jaccard, langid, licenses, packing, pii, repeats, training_order, vectors
+from lendlake.llm import (
+    ctw,
+    decontaminate,
+    jaccard,
+    langid,
+    licenses,
+    oracle,
+    packing,
+    pii,
+    repeats,
+    resampling,
+    sentencepieces,
+    training_order,
+    trie,
+    vectors,
+)
 from lendlake.llm.tables import read
 
 
@@ -27,6 +42,14 @@ def _near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def _resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def _prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": _decontaminate,
     "op2_jaccard_join": _documents(jaccard.near_duplicates),
@@ -38,8 +61,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": _documents(packing.pack),
     "op9_repeats": _documents(repeats.remove_repeats),
     "op10_near_vectors": _near_vectors,
+    "op11_sentencepieces": _documents(sentencepieces.digests),
+    "op12_resampling": _resampling,
+    "op13_prefix_trie": _prefix_trie,
 }
 
-#: None of the operators' results can be had from SQL at a bearable cost on
-#: whole tables; tests hold them against brute force instead.
-ORACLE: dict[str, str] = {}
+#: SQL for those that it can express at a bearable cost on whole tables; tests hold
+#: the others against brute force instead.
+ORACLE: dict[str, str] = {
+    "op12_resampling": oracle.RESAMPLING,
+    "op13_prefix_trie": oracle.PREFIX_TRIE,
+}
