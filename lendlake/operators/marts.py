@@ -152,7 +152,7 @@ class InputParts:
             F.max("payment_date").alias("_last"),
             F.count(F.lit(1)).alias("_n"),
         )
-        inst_loan = one_per_key(normal.select("installment_id", "loan_id"), "installment_id", ["loan_id"])
+        inst_loan = one_per_key(normal.select("installment_id", "loan_id", "due_date"), "installment_id", ["loan_id", "due_date"]).drop("due_date")
         return (
             per_loan.join(inst_loan.withColumnRenamed("loan_id", "_inst_loan"), "installment_id", "inner")
             .where(F.col("loan_id").isNull() | (F.col("loan_id") == F.col("_inst_loan")))

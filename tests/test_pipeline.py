@@ -7,7 +7,8 @@ from lendlake.plans import materialize
 from lendlake.plans.layers import Settings
 from lendlake.sources.raw import literal_inputs, literal_rows
 from lendlake.sources.schemas import PAYMENTS
-from lendlake.streaming.upserts import read_snapshot, start_upserts
+from lendlake.sources.versions import VersionedTable
+from lendlake.streaming.upserts import BUCKET, read_target, start_upserts
 from tests.test_rules import cust, inst, loan, pay
 
 
@@ -40,8 +41,18 @@ def test_streaming_upsert(spark, tmp_path):
     ).write.parquet(src + "/batch2")
     q = start_upserts(spark, src + "/*", PAYMENTS, target, ckpt, available_now=True)
     q.awaitTermination(120)
-    snap = {r.payment_id: r.payment_amount for r in read_snapshot(spark, target, PAYMENTS).collect()}
+    table = VersionedTable(spark, target)
+    snap = {r.payment_id: r.payment_amount for r in read_target(table).collect()}
     assert snap == {"P1": D("99.00"), "P2": D("50.00"), "P3": D("50.00")}
+    # A stream that starts over with a fresh checkpoint adds to what is there.
+    literal_rows(spark, "payments", [pay("P4", loaded=t2)]).write.parquet(str(tmp_path / "more" / "batch"))
+    for _ in range(2):
+        q = start_upserts(spark, str(tmp_path / "more" / "*"), PAYMENTS, target, ckpt + "2", available_now=True)
+        q.awaitTermination(120)
+    assert {r.payment_id for r in read_target(table).collect()} == {"P1", "P2", "P3", "P4"}
+    first, last = table.manifest(0)["parts"], table.manifest()["parts"]
+    assert any(last[p] == c for p, c in first.items())  # untouched buckets keep their files
+    assert all(p.startswith(f"{BUCKET}=") for p in last)
 
 
 def test_create_input_tables(spark, tmp_path):

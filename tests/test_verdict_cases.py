@@ -16,6 +16,7 @@ from lendlake.plans.layers import Settings, build_marts, stage
 from lendlake.plans.registry import queries
 from lendlake.session import cluster_conf
 from lendlake.sources.raw import literal_inputs
+from lendlake.sources.versions import VersionedTable
 from lendlake.streaming import upserts
 from tests.conftest import SMOKE
 
@@ -39,15 +40,32 @@ def test_upsert_keeps_rows_without_key(spark):
     assert got == sorted([(1, 2, "b"), (3, 1, "c"), (None, 1, "x"), (None, 2, "y")], key=str)
 
 
-def test_replayed_batch_starts_from_the_version_before_it(spark, tmp_path):
-    schema = "k long, ts int, v string"
-    batch = [spark.createDataFrame(rows, schema) for rows in ([(1, 1, "a"), (2, 1, "b")], [(2, 2, "c")])]
-    target = str(tmp_path / "t")
-    assert upserts.current_version(spark, target) is None
-    for n, b in [(0, batch[0]), (1, batch[1]), (1, batch[1])]:
-        upserts.merge_batch(spark, b, n, target, "k", ["ts"])
-    got = sorted(map(tuple, upserts.read_snapshot(spark, target, batch[0].schema).collect()))
-    assert got == [(1, 1, "a"), (2, 2, "c")]
+def test_batches_of_several_writers_all_stay(spark, tmp_path):
+    schema = "k string, ts int, v string"
+    frame = lambda *rows: spark.createDataFrame(rows, schema)
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    one = [frame(("a", 1, "x"), ("b", 1, "x")), frame(("b", 2, "y")), frame(("c", 1, "x"), (None, 1, "z"))]
+    for n, b in [*enumerate(one), (2, one[2]), (0, one[0])]:  # the last two are replays
+        upserts.merge_into(table, b, "k", ["ts"], 8, ("first", n))
+    assert table.version() == 2
+    # Another checkpoint counts its batches from 0 again.
+    for n, b in enumerate([frame(("d", 1, "x")), frame(("e", 1, "x")), frame(("b", 1, "old"))]):
+        upserts.merge_into(table, b, "k", ["ts"], 8, ("second", n))
+    got = sorted(map(tuple, upserts.read_target(table).collect()), key=str)
+    want = [("a", 1, "x"), ("b", 2, "y"), ("c", 1, "x"), ("d", 1, "x"), ("e", 1, "x"), (None, 1, "z")]
+    assert got == sorted(want, key=str)
+
+
+def test_a_batch_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    rows = spark.range(500).select(F.col("id").alias("k"), F.lit(1).alias("ts"))
+    upserts.merge_into(table, rows, "k", ["ts"], 16)
+    upserts.merge_into(table, spark.createDataFrame([(3, 2)], "k long, ts int"), "k", ["ts"])
+    old, new = table.manifest(0)["parts"], table.manifest(1)["parts"]
+    assert len(old) == 16 and sum(old[p] != new[p] for p in old) == 1
+    assert upserts.read_target(table).count() == 500
+    folder = table.folder(next(c for p, c in new.items() if old[p] != c))
+    assert spark.read.parquet(folder).count() < 60  # the touched bucket's rows only
 
 
 def test_read_errors_are_not_taken_for_nothing_stored(spark, tmp_path):
