@@ -4,19 +4,19 @@ K1 reads the rows that arrived after a stored high-water mark and advances
 the mark. K2 upserts by key: the newest row per key wins, newest by
 ``(ts, tie-breaker)``; both sides are reduced to one row per key first, so the
 merge is a 1:1 full outer join whatever the duplication of the input. K3
-rebuilds only the mart partitions an increment touches, with dynamic partition
-overwrite. The mark is a one-row Parquet table in the caller's state folder.
+rebuilds only the mart partitions an increment touches, in a new version of the
+table. ``plans.runs`` makes one transaction of them, whose release holds the mark.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampNTZType
+
+from lendlake.sources.versions import VersionedTable
 
 
 def as_mark(value: _dt.datetime | str) -> Column:
@@ -46,34 +46,6 @@ def advance_mark(df: DataFrame, ts_col: str, mark: _dt.datetime | str) -> DataFr
     )
 
 
-def read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """What ``read`` declares, or None where nothing is stored yet. Any other
-    error goes up: taken for "nothing stored", it would lose what is."""
-    try:
-        return read()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-_MARK_SCHEMA = StructType([StructField("mark", TimestampNTZType(), True)])
-
-
-def read_mark(spark: SparkSession, path: str, default: _dt.datetime) -> _dt.datetime:
-    """The stored mark (a one-row table), or ``default`` when none is stored."""
-    rows = read_if_there(lambda: spark.read.schema(_MARK_SCHEMA).parquet(path))
-    if rows is None:
-        return default
-    row = rows.agg(F.max("mark")).first()
-    return row[0] if row and row[0] is not None else default
-
-
-def write_mark(spark: SparkSession, path: str, mark: _dt.datetime) -> None:
-    """Store the mark (overwrite; one row, one file)."""
-    spark.createDataFrame([(mark,)], _MARK_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
-
-
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The newest row per key by ``order`` (lexicographic), as one aggregate:
     partial aggregation combines a hot key map-side, no per-key sort."""
@@ -123,43 +95,28 @@ def touched_partitions(
     return parts.join(keys, key, "left_semi").select(partition_col).distinct()
 
 
-def _remove_partitions(emptied: DataFrame, path: str, partition_col: str) -> None:
-    """Delete the folders of the given partitions (a few names, one for each
-    partition that lost all its rows)."""
-    spark = emptied.sparkSession
-    jvm = spark.sparkContext._jvm
+def partition_folders(values: DataFrame, partition_col: str) -> list[str]:
+    """The folder names of partition values (one column; a name for each partition)."""
+    jvm = values.sparkSession.sparkContext._jvm
     names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for row in emptied.collect():
-        folder = names.getPartitionPathString(partition_col, row.value)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, folder), True)
-
-
-def rebuild_partitions(mart: DataFrame, touched: DataFrame, path: str, partition_col: str) -> None:
-    """K3: replace only the touched partitions of a partitioned mart table.
-
-    Touched partitions with rows are overwritten, those left without rows are
-    removed; each step can be repeated, so a failed rebuild is run again.
-    Rows are rebalanced by partition first, so a partition is a few files of
-    bounded size and a large one is split among tasks.
-
-    Ageing columns depend on the analysis date, so rebuilt partitions carry the
-    new date while untouched ones keep theirs; rebuild everything when the
-    date moves. A touched NULL partition is rebuilt too. ``touched`` must come
-    from the keys of the old and the new mart, or partitions that the increment
-    empties or adds are missed.
+    rows = values.select(F.col(partition_col).cast("string")).distinct().collect()
+    return [names.getPartitionPathString(partition_col, r[0]) for r in rows]
+
+
+def rebuild_partitions(mart: DataFrame, touched: DataFrame, table: VersionedTable, base: int | None = None) -> int:
+    """K3: a new version of a partitioned mart table in which only the touched
+    partitions are written; all others keep their files.
+
+    Touched partitions with rows hold those of ``mart``, those left without rows are
+    gone, and nothing changes for readers before the new version is there. Rows are
+    rebalanced by partition first, so a partition is a few files of bounded size and a
+    large one is split among tasks. A touched NULL partition is rebuilt too.
+    ``touched`` must come from the keys of the old and the new mart, or partitions
+    that the increment empties or adds are missed. Store the mart's facts (``marts.
+    cartera_facts``), not its ageing columns: those follow the date of the reader.
     """
+    base = table.version() if base is None else base
+    partition_col = table.manifest(base)["partition_by"]
     same = mart[partition_col].eqNullSafe(touched[partition_col])
     rows = mart.join(touched, same, "left_semi")
-    filled = mart.select(F.col(partition_col).alias("_filled")).distinct()
-    emptied = touched.join(
-        filled, touched[partition_col].eqNullSafe(filled["_filled"]), "left_anti"
-    ).select(F.col(partition_col).cast("string").alias("value"))
-    _remove_partitions(emptied, path, partition_col)
-    (
-        rows.hint("rebalance", partition_col).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+    return table.replace_parts(rows, partition_folders(touched, partition_col), base)

@@ -2,12 +2,16 @@
 loan-level summary.
 
 Plan shape: valid payments are aggregated per installment *before* any join
-(the optimizer will not do this for us, and it also prevents fan-out); the
-customer and loan sides are reduced to one row per key; installments join the
-payment totals on ``installment_id`` and then the loans on ``loan_id``, so the
-mart leaves the last join hash-partitioned by ``loan_id`` and the loan summary
-(grouped by ``loan_id`` plus attributes that depend on it) needs no further
-shuffle.
+(the optimizer will not do this for us, and it also prevents fan-out), and the
+customer and loan sides are reduced to one row per key. Over staging,
+installments join the payment totals on ``installment_id`` and then the loans on
+``loan_id``, so the loan summary needs no further shuffle; from the inputs they
+join the loans first, which also gives the term for the anomaly test, and the
+summary shuffles once more.
+
+The mart is made in two steps. ``cartera_facts`` holds what doesn't depend on the
+analysis date and can be stored by cohort; ``as_of`` adds the ageing columns on
+read, so every row carries one date whenever its cohort was written (K3).
 """
 
 from __future__ import annotations
@@ -30,6 +34,10 @@ MART_COLUMNS = [
     "mora_bucket", "analysis_date",
 ]
 
+#: What depends on the analysis date.
+AS_OF_COLUMNS = ["is_overdue", "days_overdue", "mora_bucket", "analysis_date"]
+FACT_COLUMNS = [c for c in MART_COLUMNS if c not in AS_OF_COLUMNS]
+
 SUMMARY_KEYS = [
     "loan_id", "customer_id", "full_name", "city", "segment", "product_type",
     "origination_date", "cohort_month", "loan_principal", "annual_rate", "term_months",
@@ -43,9 +51,9 @@ LOAN_ATTRIBUTES = [
 
 
 def as_date(value: _dt.date | str | None) -> _dt.date:
-    """Run parameter (B8): a date, ISO text, or None for today."""
+    """Run parameter (B8): a date, ISO text, or None for today (UTC, as the sessions)."""
     if value is None:
-        return _dt.date.today()
+        return _dt.datetime.now(_dt.timezone.utc).date()
     if isinstance(value, _dt.date):
         return value
     return _dt.date.fromisoformat(str(value))
@@ -82,24 +90,44 @@ def overdue_flags(status: Column, due: Column, as_of: Column) -> tuple[Column, C
     return is_overdue, days_overdue, ageing_bucket(status, due, as_of, days)
 
 
-def dm_cartera(
+def cartera_facts(
     customers: DataFrame,
     loans: DataFrame,
     installments: DataFrame,
     payments: DataFrame,
-    analysis_date: _dt.date | str | None = None,
 ) -> DataFrame:
-    """One row per valid, normal installment of a valid loan, as of a date."""
-    as_of = F.lit(as_date(analysis_date))
+    """One row per valid, normal installment of a valid loan with what was paid."""
     paid = payments_per_installment(payments)
-    inst = installments.where("is_valid AND NOT is_anomalous").select(
+    j = normal_installments(installments).join(paid, "installment_id", "left").join(
+        enriched_loans(loans, customers), "loan_id", "inner"
+    )
+    return _fact_columns(j)
+
+
+def normal_installments(installments: DataFrame) -> DataFrame:
+    return installments.where("is_valid AND NOT is_anomalous").select(
         "installment_id", "loan_id", "installment_number", "due_date", "principal_due",
         "interest_due", "total_due", "installment_status",
     )
-    j = inst.join(paid, "installment_id", "left").join(
-        enriched_loans(loans, customers), "loan_id", "inner"
-    )
-    return _mart_columns(j, as_of)
+
+
+def as_of(facts: DataFrame, analysis_date: _dt.date | str | None = None) -> DataFrame:
+    """A6 from its facts: the ageing columns as of a date."""
+    day = F.lit(as_date(analysis_date))
+    flags = overdue_flags(F.col("installment_status"), F.col("due_date"), day)
+    aged = dict(zip(AS_OF_COLUMNS, [*flags, day]))
+    return facts.select(*[aged[c].alias(c) if c in aged else F.col(c) for c in MART_COLUMNS])
+
+
+def dm_cartera(
+    customers: DataFrame,
+    loans: DataFrame,
+    installments: DataFrame,
+    payments: DataFrame,
+    analysis_date: _dt.date | str | None = None,
+) -> DataFrame:
+    """One row per valid, normal installment of a valid loan, as of a date."""
+    return as_of(cartera_facts(customers, loans, installments, payments), analysis_date)
 
 
 class InputParts:
@@ -152,7 +180,10 @@ class InputParts:
             F.max("payment_date").alias("_last"),
             F.count(F.lit(1)).alias("_n"),
         )
-        inst_loan = one_per_key(normal.select("installment_id", "loan_id", "due_date"), "installment_id", ["loan_id", "due_date"]).drop("due_date")
+        # The due date comes along so that this branch reads the installments with
+        # the columns of the mart's own branch, and their shuffle is shared.
+        chosen = one_per_key(normal, "installment_id", ["loan_id", "due_date"])
+        inst_loan = chosen.select("installment_id", "loan_id")
         return (
             per_loan.join(inst_loan.withColumnRenamed("loan_id", "_inst_loan"), "installment_id", "inner")
             .where(F.col("loan_id").isNull() | (F.col("loan_id") == F.col("_inst_loan")))
@@ -182,31 +213,18 @@ def dm_cartera_from_inputs(
     parts = InputParts(customers, loans, installments, payments, segments)
     normal = parts.normal_installments()
     j = normal.join(parts.paid_per_installment(normal), "installment_id", "left")
-    return _mart_columns(j, F.lit(as_date(analysis_date)))
+    return as_of(_fact_columns(j), analysis_date)
 
 
-def _mart_columns(j: DataFrame, as_of: Column) -> DataFrame:
+def _fact_columns(j: DataFrame) -> DataFrame:
     total_paid = F.coalesce(F.col("total_paid"), F.lit(0)).cast(K.MONEY_SUM)
-    balance = F.greatest(F.col("total_due") - total_paid, F.lit(0)).cast(K.MONEY_SUM)
-    is_overdue, days_overdue, bucket = overdue_flags(
-        F.col("installment_status"), F.col("due_date"), as_of
-    )
-    return j.select(
-        "loan_id", "customer_id", "full_name", "city", "segment", "product_type",
-        "origination_date", "cohort_month",
-        F.col("principal_amount").alias("loan_principal"),
-        "annual_rate", "monthly_rate", "term_months", "loan_status", "installment_id",
-        "installment_number", "due_date", "principal_due", "interest_due", "total_due",
-        "installment_status",
-        total_paid.alias("total_paid"),
-        "last_payment_date",
-        F.coalesce(F.col("num_payments"), F.lit(0)).alias("num_payments"),
-        balance.alias("balance_due"),
-        is_overdue.alias("is_overdue"),
-        days_overdue.alias("days_overdue"),
-        bucket.alias("mora_bucket"),
-        as_of.alias("analysis_date"),
-    )
+    made = {
+        "loan_principal": F.col("principal_amount"),
+        "total_paid": total_paid,
+        "num_payments": F.coalesce(F.col("num_payments"), F.lit(0)),
+        "balance_due": F.greatest(F.col("total_due") - total_paid, F.lit(0)).cast(K.MONEY_SUM),
+    }
+    return j.select(*[made.get(c, F.col(c)).alias(c) for c in FACT_COLUMNS])
 
 
 def arrears_sums(status: Column, is_overdue: Column, balance: Column) -> tuple[Column, Column]:

@@ -182,13 +182,18 @@ def validity_rates(staged, min_rate: float = K.MIN_VALID_RATE) -> DataFrame:
             for name in ("customers", "loans", "installments", "payments")
         ],
     )
+    return rates(counts, min_rate)
+
+
+def rates(counts: DataFrame, min_rate: float = K.MIN_VALID_RATE) -> DataFrame:
+    """C12 and C14 from ``(table_name, failed, total)``, wherever it was counted."""
     every = F.array(F.lit("C12"))
     ids = F.when(F.col("table_name") == CONTROLS["C14"][0], F.array(F.lit("C12"), F.lit("C14"))).otherwise(every)
-    rates = counts.withColumn("control_id", F.explode(ids))
+    each = counts.withColumn("control_id", F.explode(ids))
     is_validity = F.col("control_id") == "C12"
     share = F.col("failed").cast("double") / F.nullif(F.col("total"), F.lit(0)).cast("double")
     ok = F.when(is_validity, (F.lit(1.0) - share) >= min_rate).otherwise(share <= K.MAX_REJECTED_RATE)
-    return rates.select(
+    return each.select(
         "control_id",
         "table_name",
         F.when(is_validity, CONTROLS["C12"][1]).otherwise(CONTROLS["C14"][1]).alias("control"),

@@ -6,7 +6,7 @@ DataFrames it is given (read from storage in production, derived in tests).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlake import constants as K
@@ -128,26 +128,45 @@ def vw_recaudo_diario(
 
 def vw_cartera_cohorte(mart: DataFrame) -> DataFrame:
     """A10: portfolio per cohort month, city, segment, product and bucket.
-    ``num_creditos`` counts loans per bucket and does not add up over buckets."""
+    ``num_creditos`` counts loans per bucket and does not add up over buckets.
+
+    Both exact distinct counts come from one chain of plain aggregations, without
+    copying the rows once a count: rows are first reduced by (group, installment,
+    loan), which needs no shuffle where the mart lies by installment; an
+    installment counts with the least of its loans; then loans per group, then groups.
+    """
+    group = ["cohort_month", "city", "segment", "product_type", "mora_bucket"]
     mora, vigente = arrears_sums(
         F.col("installment_status"), F.col("is_overdue"), F.col("balance_due")
     )
-    return mart.groupBy(
+    money = {
+        "total_programado": F.sum("total_due"),
+        "total_pagado": F.sum("total_paid"),
+        "saldo_pendiente": F.sum("balance_due"),
+        "saldo_mora": mora,
+        "saldo_vigente": vigente,
+    }
+    again = [F.sum(c).cast(K.MONEY_SUM).alias(c) for c in money] + [F.max("max_dias_mora").alias("max_dias_mora")]
+    pairs = mart.groupBy(*group, "installment_id", "loan_id").agg(
+        *[s.cast(K.MONEY_SUM).alias(c) for c, s in money.items()],
+        F.max("days_overdue").alias("max_dias_mora"),
+    )
+    counts_here = Window.partitionBy(*group, "installment_id").orderBy("loan_id")
+    first = (F.row_number().over(counts_here) == 1) & F.col("installment_id").isNotNull()
+    loans = pairs.withColumn("_first", first.cast("bigint")).groupBy(*group, "loan_id").agg(
+        *again, F.sum("_first").alias("num_cuotas")
+    )
+    g = loans.groupBy(*group).agg(
+        *again, F.count("loan_id").alias("num_creditos"), F.sum("num_cuotas").alias("num_cuotas")
+    )
+    return g.select(
         "cohort_month",
         month_label("cohort_month").alias("cohort_label"),
-        "city",
-        "segment",
-        "product_type",
-        "mora_bucket",
-    ).agg(
-        F.countDistinct("loan_id").alias("num_creditos"),
-        F.countDistinct("installment_id").alias("num_cuotas"),
-        F.sum("total_due").cast(K.MONEY_SUM).alias("total_programado"),
-        F.sum("total_paid").cast(K.MONEY_SUM).alias("total_pagado"),
-        F.sum("balance_due").cast(K.MONEY_SUM).alias("saldo_pendiente"),
-        mora.alias("saldo_mora"),
-        vigente.alias("saldo_vigente"),
-        F.max("days_overdue").alias("max_dias_mora"),
+        *group[1:],
+        "num_creditos",
+        "num_cuotas",
+        *money,
+        "max_dias_mora",
     )
 
 

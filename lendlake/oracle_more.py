@@ -368,7 +368,7 @@ register("k9_known_loan_status", BASE, _with_status(C15))
 register(
     "k9_unknown_loan_status", BASE,
     """SELECT loan_status AS value, count(*) AS rows FROM raw_loans
-       WHERE loan_status IS NULL OR loan_status NOT IN ('ACTIVE', 'CLOSED') GROUP BY loan_status""",
+       WHERE loan_status IS NULL OR loan_status NOT IN ('ACTIVE', 'CLOSED', 'DEFAULT') GROUP BY loan_status""",
 )
 register("k12_validity_rate", BASE, VALIDITY)
 register(
@@ -456,6 +456,21 @@ register(
             ["payment_id", "loan_id", "installment_id", "payment_date", "payment_amount",
              "payment_channel", "payment_status", "loaded_at"]),
 )
+register(
+    "k2_bucketed_upsert", BASE,
+    _upsert("raw_payments", "payment_id", "loaded_at DESC", "loaded_at", PAY_MARK,
+            ["payment_id", "loan_id", "installment_id", "payment_date", "payment_amount",
+             "payment_channel", "payment_status", "loaded_at"]),
+)
+register(
+    "k5_displaced_copies", BASE,
+    """SELECT event_id, user_id, chosen_event_id, 'another row was chosen for its key' AS reason,
+         CAST(1 AS BIGINT) AS copies
+       FROM (SELECT event_id, user_id, row_number() OVER w AS place, first_value(event_id) OVER w AS chosen_event_id
+             FROM events WHERE user_id IS NOT NULL
+             WINDOW w AS (PARTITION BY user_id ORDER BY ts DESC, event_id DESC))
+       WHERE place > 1""",
+)
 register(
     "k3_touched_partitions", MARTS,
     f"""SELECT DISTINCT cohort_month FROM dm_cartera

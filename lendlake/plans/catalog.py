@@ -1,4 +1,7 @@
-"""Sinks and names (B4, B5, H17): stored tables, temp views, load-time columns."""
+"""Sinks and names (B4, B5, H17): stored tables, views, load-time columns.
+
+``plans.warehouse`` publishes and names whole runs; these are for single tables.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendlake.session import checkpoint_dir
+from lendlake.sources.versions import VersionedTable
 
 # View names of the source pipeline's layers.
 VIEW_NAMES = {
@@ -45,20 +49,27 @@ def table_root(spark: SparkSession) -> str:
     return root or posixpath.join(checkpoint_dir(spark), "tables")
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """CREATE OR REPLACE TABLE ... AS (B4): overwrite the table's folder."""
-    if partition_by:  # a few files a partition, large partitions split among tasks
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+KEPT = 8  # versions of a stored table
 
 
-def materialize(spark: SparkSession, name: str, df: DataFrame, load_time: str | None = "_stg_loaded_at") -> DataFrame:
-    """Write ``df`` as table ``name`` (with its load time) and return the
-    stored table without the load-time column."""
-    path = posixpath.join(table_root(spark), name)
-    write_table(with_load_time(df, load_time) if load_time else df, path)
-    stored = spark.read.parquet(path)
+def materialize(
+    spark: SparkSession, name: str, df: DataFrame, load_time: str | None = "_stg_loaded_at"
+) -> DataFrame:
+    """CREATE OR REPLACE TABLE ... AS (B4): a new version of table ``name`` (with its
+    load time), and the rows of that version without it. Other sessions may write
+    and read the same table: each reads a version as a whole."""
+    table = VersionedTable(spark, posixpath.join(table_root(spark), name))
+    version = table.replace(with_load_time(df, load_time) if load_time else df)
+    table.expire(KEPT)
+    stored = table.read(version)
     return stored.drop(load_time) if load_time else stored
+
+
+def create_view(spark: SparkSession, name: str, table: str, columns: list[str], where: str = "TRUE") -> DataFrame:
+    """CREATE OR REPLACE VIEW (B5) over the last version of a stored table: a
+    permanent object of the current database, there for every session of the catalog."""
+    stored = VersionedTable(spark, posixpath.join(table_root(spark), table))
+    folder = stored.folder(stored.manifest()["parts"][""])
+    full = f"{spark.catalog.currentDatabase()}.{name}"
+    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {', '.join(columns)} FROM parquet.`{folder}` WHERE {where}")
+    return spark.table(full)

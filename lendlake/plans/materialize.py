@@ -1,69 +1,39 @@
-"""The scheduled run (B4): write every layer in dependency order.
-
-staging (stg_customers, stg_loans, stg_installments, stg_payments) is written
-first and read back, so the marts scan stored, column-pruned Parquet with the
-validity filters pushed into the scan, and each layer is computed once. The
-installment mart is partitioned by ``cohort_month`` so a run can rebuild only
-the cohorts an increment touches (K3); the loan summary and BI views are
-plain tables. Load-time columns are added here, at the sink (N22).
-"""
+"""The scheduled full run (B4): write every layer in dependency order, publish, and
+name the result. ``plans.runs`` has the steps; an incremental run is
+``runs.refresh`` without ``full``."""
 
 from __future__ import annotations
 
-import posixpath
-
 from pyspark.sql import DataFrame, SparkSession
 
-from lendlake.operators import marts, views
-from lendlake.plans.catalog import register_views, with_load_time, write_table
-from lendlake.plans.layers import Settings, stage
+from lendlake.plans import runs
+from lendlake.plans.catalog import VIEW_NAMES, register_views
+from lendlake.plans.layers import Settings
+from lendlake.plans.warehouse import Warehouse
 from lendlake.sources.raw import RawInputs
 
 
-def _store(spark: SparkSession, root: str, name: str, df: DataFrame, load_col: str,
-           partition_by: list[str] | None = None) -> DataFrame:
-    path = posixpath.join(root, name)
-    write_table(with_load_time(df, load_col), path, partition_by)
-    return spark.read.parquet(path).drop(load_col)
-
-
 def run(
     spark: SparkSession,
     raw: RawInputs,
     root: str,
     settings: Settings = Settings(),
     register: bool = True,
+    gate: bool = True,
 ) -> dict[str, DataFrame]:
-    """Build and store all layers under ``root``; return the stored tables
-    (and register them as views for SQL users when ``register``)."""
-
-    def persist(name: str, df: DataFrame) -> DataFrame:
-        return _store(spark, root, name, df, "_stg_loaded_at")
-
-    st = stage(raw, settings, persist=persist)
-    customers = persist("stg_customers", st.customers)
-    loans, installments, payments = st.loans, st.installments, st.payments
-    cartera = _store(
-        spark, root, "dm_cartera",
-        marts.dm_cartera(customers, loans, installments, payments, settings.analysis_date),
-        "_loaded_at", ["cohort_month"],
-    )
-    resumen = _store(spark, root, "dm_resumen_credito", marts.dm_resumen_credito(cartera),
-                     "_loaded_at")
-    out = {
-        "customers": customers,
-        "loans": loans,
-        "installments": installments,
-        "payments": payments,
-        "rejected": st.rejected_payments,
-        "mart": cartera,
-        "summary": resumen,
-        "origination": views.vw_originacion_diaria(customers, loans),
-        "collections": views.vw_recaudo_diario(customers, loans, installments, payments),
-        "cohort": views.vw_cartera_cohorte(cartera),
-        "top_arrears": views.vw_top_mora(resumen),
-        "bi": views.vw_bi_completo(cartera),
-    }
+    """Build and publish all layers under ``root``; return the stored tables (and
+    register them as temporary views for SQL users of this session when
+    ``register``; ``warehouse.register`` gives lasting names)."""
+    runs.refresh(spark, raw, root, settings, full=True, gate=gate)
+    out = published(spark, root)
     if register:
         register_views(spark, **out)
     return out
+
+
+def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The frames of the last release, without load times."""
+    lake = Warehouse(spark, root)
+    release = lake.release()
+    frames = {key: lake.read(name, release) for key, name in VIEW_NAMES.items()}
+    return {key: df.drop(runs.STAGE_LOAD, runs.MART_LOAD) for key, df in frames.items()}

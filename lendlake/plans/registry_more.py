@@ -22,13 +22,22 @@ from lendlake.functions.text import (
 from lendlake.operators import incremental as inc
 from lendlake.operators import quality as qc
 from lendlake.operators import views
-from lendlake.operators.keys import key_set, one_per_key
-from lendlake.operators.marts import arrears_sums, dm_cartera_from_inputs, payments_per_installment
+from lendlake.operators.keys import displaced, key_set, one_per_key
+from lendlake.operators.marts import (
+    FACT_COLUMNS,
+    arrears_sums,
+    dm_cartera_from_inputs,
+    payments_per_installment,
+)
+from lendlake.operators.marts import as_of as mart_as_of
 from lendlake.operators.ranking import global_row_number
+from lendlake.operators.staging import REJECTED_COLUMNS
 from lendlake.plans import catalog
 from lendlake.plans.layers import Settings
 from lendlake.plans.registry import TEST_SETTINGS, Ctx, query
 from lendlake.sources.adapters import TEST_SEGMENTS
+from lendlake.sources.versions import VersionedTable
+from lendlake.streaming.upserts import merge_into, read_target
 
 # --- Fixed values of the checked incremental runs ---------------------------
 PAYMENTS_MARK = "1999-01-01 00:00:00"
@@ -61,11 +70,12 @@ def _b2(c: Ctx):
 
 @query("b3_scan_view")
 def _b3(c: Ctx):
-    """A business question as SQL text over a registered view."""
-    catalog.register_views(c.spark, origination=c.origination)
+    """A business question as SQL text over a permanent view of a stored table."""
+    stored = catalog.materialize(c.spark, "originacion_diaria", c.origination)
+    catalog.create_view(c.spark, "vw_originacion_diaria", "originacion_diaria", stored.columns)
     return c.spark.sql(
         "SELECT segment, SUM(monto_desembolsado) AS monto_total_COP "
-        "FROM vw_originacion_diaria GROUP BY segment"
+        f"FROM {c.spark.catalog.currentDatabase()}.vw_originacion_diaria GROUP BY segment"
     )
 
 
@@ -77,8 +87,9 @@ def _b4(c: Ctx):
 
 @query("b5_create_or_replace_view")
 def _b5(c: Ctx):
-    catalog.register_views(c.spark, rejected=c.staged.rejected_payments)
-    return c.spark.table("vw_payments_rejected")
+    """The audit view, a permanent view over the stored staging of payments."""
+    catalog.materialize(c.spark, "stg_payments", c.staged.payments)
+    return catalog.create_view(c.spark, "vw_payments_rejected", "stg_payments", REJECTED_COLUMNS, "NOT is_valid")
 
 
 @query("b8_run_parameter")
@@ -443,8 +454,7 @@ query("k9_known_loan_status")(
     lambda c: qc.loan_controls(c.raw.loans, c.raw.customers).where("control_id = 'C15'")
 )
 query("k9_unknown_loan_status")(
-    # The domain without one of its values, so that the list isn't empty.
-    lambda c: qc.unknown_values(c.raw.loans, "loan_status", K.LOAN_STATUSES[:-1])
+    lambda c: qc.unknown_values(c.raw.loans, "loan_status", K.LOAN_STATUSES)
 )
 query("k12_validity_rate")(lambda c: qc.validity_rates(c.staged))
 query("k13_control_report")(lambda c: qc.control_report(c.raw, c.staged, c.mart))
@@ -491,18 +501,42 @@ query("k3_touched_partitions")(
 )
 
 
+@query("k2_bucketed_upsert")
+def _k2b(c: Ctx):
+    """The payments up to the mark as a stored table in key buckets, into which those
+    after it are merged: only their buckets are written anew."""
+    p = c.raw.payments
+    mark = inc.as_mark(PAYMENTS_MARK)
+    table = _scratch_table(c, "payments")
+    for part in (p.where(F.col("loaded_at") <= mark), p.where(F.col("loaded_at") > mark)):
+        merge_into(table, part, "payment_id", ["loaded_at"], buckets=8)
+    return read_target(table)
+
+
+def _scratch_table(c: Ctx, name: str) -> VersionedTable:
+    return VersionedTable(c.spark, f"{catalog.table_root(c.spark)}/{name}-{uuid.uuid4().hex}")
+
+
 @query("k3_rebuilt_mart")
 def _k3r(c: Ctx):
-    """A stored mart as of the mark, with the partitions touched by the later
-    payments rebuilt in place, read back whole."""
+    """The mart's facts as of the mark, stored by cohort, with the cohorts touched
+    by the later payments rebuilt; read back whole as of the analysis date."""
     raw, mark = c.raw, inc.as_mark(PAYMENTS_MARK)
     before = dm_cartera_from_inputs(
         raw.customers, raw.loans, raw.installments, raw.payments.where(F.col("loaded_at") <= mark),
         TEST_SETTINGS.analysis_date, TEST_SETTINGS.segments,
     )
-    path = f"{catalog.table_root(c.spark)}/dm_cartera-{uuid.uuid4().hex}"
-    catalog.write_table(before, path, ["cohort_month"])
+    table = _scratch_table(c, "cartera_facts")
+    table.replace(before.select(*FACT_COLUMNS), "cohort_month")
     new = inc.new_rows(raw.payments, "loaded_at", PAYMENTS_MARK)
     touched = inc.touched_partitions(c.mart, new, "installment_id", "cohort_month")
-    inc.rebuild_partitions(c.mart, touched, path, "cohort_month")
-    return c.spark.read.schema(c.mart.schema).parquet(path).select(*c.mart.columns)
+    inc.rebuild_partitions(c.mart.select(*FACT_COLUMNS), touched, table)
+    return mart_as_of(table.read(), TEST_SETTINGS.analysis_date)
+
+
+@query("k5_displaced_copies")
+def _k5d(c: Ctx):
+    """Events that are not their user's newest one, with the one chosen for the user."""
+    return displaced(_events(c), "user_id", ["ts", "event_id"]).select(
+        "event_id", "user_id", F.col("chosen.event_id").alias("chosen_event_id"), "reason", "copies"
+    )

@@ -21,6 +21,7 @@ import json
 import posixpath
 import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -60,6 +61,26 @@ class ManifestLog:
         self.files.delete(self._file(number))
 
 
+@dataclass(frozen=True)
+class Written:
+    """Files that no manifest names yet."""
+
+    table: VersionedTable
+    schema: StructType
+    partition_by: str
+    path: str
+    parts: dict[str, str]
+
+    def rows(self) -> DataFrame:
+        spark = self.table.spark
+        if not self.parts:
+            return spark.createDataFrame([], self.schema)
+        return spark.read.schema(self.schema).parquet(self.path)
+
+    def commit(self, properties: dict | None = None) -> int:
+        return self.table._commit(self.schema, self.partition_by, self.parts, properties)
+
+
 class VersionedTable:
     """One table; versions are counted by the table itself."""
 
@@ -111,6 +132,15 @@ class VersionedTable:
         df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
         return {n: commit for n in self.log.files.names(path) if "=" in n}
 
+    def write_parts(self, df: DataFrame, partition_by: str) -> Written:
+        """Files of ``df`` as they are dealt, not yet a version: look at them, then
+        ``commit`` them."""
+        commit = uuid.uuid4().hex
+        path = self.folder(commit)
+        df.write.partitionBy(partition_by).parquet(path)
+        parts = {n: commit for n in self.log.files.names(path) if "=" in n}
+        return Written(self, df.schema, partition_by, path, parts)
+
     def _commit(self, schema: StructType, partition_by: str | None, parts: dict, properties: dict | None) -> int:
         last = self.version()
         document = {

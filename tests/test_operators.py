@@ -9,6 +9,7 @@ from lendlake.operators import incremental as inc
 from lendlake.operators import quality as qc
 from lendlake.operators.ranking import global_row_number
 from lendlake.plans.registry import queries
+from lendlake.sources.versions import VersionedTable
 from tests.conftest import SMOKE
 
 
@@ -51,14 +52,6 @@ def test_new_rows_and_mark(spark):
     assert none.new_rows == 0 and none.new_mark == dt.datetime(2030, 1, 1)
 
 
-def test_mark_store_roundtrip(spark, tmp_path):
-    path = str(tmp_path / "mark")
-    default = dt.datetime(2000, 1, 1)
-    assert inc.read_mark(spark, path, default) == default
-    inc.write_mark(spark, path, dt.datetime(2025, 5, 1))
-    assert inc.read_mark(spark, path, default) == dt.datetime(2025, 5, 1)
-
-
 def test_upsert_latest_wins(spark):
     schema = "k string, ts timestamp_ntz, v int"
     t0, t1, t2 = (dt.datetime(2025, 1, d) for d in (1, 2, 3))
@@ -69,14 +62,13 @@ def test_upsert_latest_wins(spark):
 
 
 def test_rebuild_touched_partitions(spark, tmp_path):
-    path = str(tmp_path / "mart")
+    table = VersionedTable(spark, str(tmp_path / "mart"))
     df = spark.createDataFrame([(1, "2025-01"), (2, "2025-02")], "id int, cohort string")
-    df.write.partitionBy("cohort").parquet(path)
+    table.replace(df, "cohort")
     new = spark.createDataFrame([(3, "2025-02")], "id int, cohort string")
-    touched = new.select("cohort").distinct()
-    inc.rebuild_partitions(new, touched, path, "cohort")
-    got = sorted((r.id, r.cohort) for r in spark.read.parquet(path).collect())
-    assert got == [(1, "2025-01"), (3, "2025-02")]
+    inc.rebuild_partitions(new, new.select("cohort").distinct(), table)
+    assert sorted((r.id, r.cohort) for r in table.read().collect()) == [(1, "2025-01"), (3, "2025-02")]
+    assert sorted((r.id, r.cohort) for r in table.read(0).collect()) == [(1, "2025-01"), (2, "2025-02")]
 
 
 def test_duplicate_key_control(spark):
@@ -92,3 +84,36 @@ def test_parent_copies_do_not_fan_out(spark):
     children = spark.range(50).select(F.lit(7).alias("k"))
     joined = children.join(one_per_key(parents, "k", ["v"]), "k")
     assert joined.count() == 50 and joined.first().v == 999
+
+
+def test_ledger_of_displaced_copies(spark):
+    from lendlake.operators.keys import displaced, one_per_key
+
+    rows = [("a", 1, "x"), ("a", 2, "x"), ("a", 2, "x"), ("a", 2, "w"), ("b", 1, "x"), (None, 1, "x"), ("c", None, None), ("c", None, None)]
+    df = spark.createDataFrame(rows, "k string, v int, other string")
+    got = {(r.k, r.v, r.other): (r.chosen.v, r.reason, r.copies) for r in displaced(df, "k", ["v"]).collect()}
+    other, same = "another row was chosen for its key", "repeats the chosen row"
+    assert got == {
+        ("a", 1, "x"): (2, other, 1), ("a", 2, "x"): (2, same, 1), ("a", 2, "w"): (2, same, 1),
+        ("c", None, None): (None, same, 1),
+    }
+    items = spark.read.parquet(f"{SMOKE}/lineitem.parquet")
+    left_out = displaced(items, "l_orderkey", ["l_shipdate", "l_linenumber"])
+    chosen = one_per_key(items, "l_orderkey", ["l_shipdate", "l_linenumber"]).count()
+    assert chosen + left_out.agg(F.sum("copies")).first()[0] == items.count()
+
+
+def test_cohort_view_counts_distinct_without_copying_rows(spark):
+    from lendlake.operators.views import vw_cartera_cohorte
+    from lendlake.plans.registry import context
+
+    mart = context(spark, SMOKE).mart
+    group = ["cohort_month", "city", "segment", "product_type", "mora_bucket"]
+    plain = mart.groupBy(*group).agg(F.countDistinct("loan_id").alias("l"), F.countDistinct("installment_id").alias("i"))
+    # Copies: the same installments once more, and once under another loan.
+    copied = mart.union(mart).union(mart.withColumn("loan_id", F.col("loan_id") + 1))
+    for df in (mart, copied):
+        got = vw_cartera_cohorte(df).select(*group, "num_creditos", "num_cuotas")
+        want = df.groupBy(*group).agg(F.countDistinct("loan_id"), F.countDistinct("installment_id"))
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert "Expand" not in _plan(vw_cartera_cohorte(mart)) and "Expand" in _plan(plain)
