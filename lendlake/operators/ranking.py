@@ -57,18 +57,22 @@ def _tagged(ranged: DataFrame) -> DataFrame:
     )
 
 
-def store_ranked(df: DataFrame, order: Sequence[Column], table: VersionedTable) -> int:
+def store_ranked(
+    df: DataFrame, order: Sequence[Column], table: VersionedTable, ranges: int | None = None
+) -> int:
     """Write ``df`` in ranges of ``order`` as a new version of ``table``; its
-    properties name each range's [rows before it, rows]."""
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    properties name each range's [rows before it, rows]. Spark chooses the number
+    of ranges by their size unless it is given."""
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    ranged = dealt.sortWithinPartitions(*order)
     written = table.write_parts(_tagged(ranged), "_range")
     # One row a range, counted from the files' footers.
     counts = written.rows().groupBy("_range").agg(F.count(F.lit(1)).alias("n")).orderBy("_range").collect()
-    ranges, before = {}, 0
+    places, before = {}, 0
     for r in counts:
-        ranges[f"_range={r['_range']}"] = [before, r["n"]]
+        places[f"_range={r['_range']}"] = [before, r["n"]]
         before += r["n"]
-    return written.commit({"ranges": ranges})
+    return written.commit({"ranges": places})
 
 
 def read_ranked(

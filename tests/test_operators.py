@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendlake.operators import incremental as inc
 from lendlake.operators import quality as qc
-from lendlake.operators.ranking import global_row_number
+from lendlake.operators.ranking import global_row_number, read_ranked, store_ranked
 from lendlake.plans.registry import queries
 from lendlake.sources.versions import VersionedTable
 from tests.conftest import SMOKE
@@ -30,6 +30,23 @@ def test_global_row_number_matches_window(spark):
     assert "row_number" not in _plan(ours)
 
 
+def test_stored_ranking_opens_the_ranges_it_needs(spark, tmp_path):
+    base = spark.read.parquet(f"{SMOKE}/orders.parquet").select(
+        "o_orderkey", (F.col("o_custkey") % 7).alias("k")
+    )
+    order = [F.col("k").desc(), F.col("o_orderkey").asc()]
+    table = VersionedTable(spark, str(tmp_path / "ranking"))
+    store_ranked(base, order, table, ranges=6)
+    whole = read_ranked(table, "rn")
+    brute = base.withColumn("rn", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, brute.collect()))
+    some = read_ranked(table, "rn", 700, 720)
+    assert sorted(r.rn for r in some.collect()) == list(range(700, 721))
+    assert len(some.inputFiles()) <= 2 < len(whole.inputFiles())
+    store_ranked(base.limit(0), order, table)
+    assert read_ranked(table, "rn").collect() == [] and read_ranked(table, "rn", version=0).count() == base.count()
+
+
 def test_top_k_plans_as_take_ordered(spark):
     df = queries()["q04_top_atraso"](spark, SMOKE)
     df.collect()
