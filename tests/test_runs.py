@@ -27,17 +27,6 @@ TABLES = [
 ]
 
 
-@pytest.fixture(autouse=True)
-def interpreted(spark):
-    """A run has many small plans: on a few rows, compiling them takes longest."""
-    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    yield
-    for k in settings:
-        spark.conf.unset(k)
-
-
 def loan_of(lid, month, cid="C1"):
     row = list(loan(lid, cid))
     row[2] = dt.date(2025, month, 10)
