@@ -13,6 +13,7 @@ from lendlake.llm import (
     langid,
     licenses,
     oracle,
+    oracle_text,
     packing,
     pii,
     repeats,
@@ -69,6 +70,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: SQL for those that it can express at a bearable cost on whole tables; tests hold
 #: the others against brute force instead.
 ORACLE: dict[str, str] = {
+    "op1_decontaminate": oracle_text.DECONTAMINATE,
+    "op2_jaccard_join": oracle_text.JACCARD,
+    "op9_repeats": oracle_text.REPEATS,
+    "op10_near_vectors": oracle_text.NEAR_VECTORS,
     "op12_resampling": oracle.RESAMPLING,
     "op13_prefix_trie": oracle.PREFIX_TRIE,
 }
