@@ -23,8 +23,8 @@ def default_path() -> str:
 @functools.cache
 def encoder(path: str) -> tiktoken.Encoding:
     """The vocabulary of a byte-level ``tokenizers`` file (ids in merge order)
-    for tiktoken's faster encoder; ids are the same, strings of special
-    tokens are ordinary text."""
+    for tiktoken's faster encoder; ids are the same, and strings
+    of special tokens give those tokens, as they do there by default."""
     import public_tokenizers
 
     # The visible stand-ins that byte-level vocabularies use for bytes.
@@ -33,16 +33,16 @@ def encoder(path: str) -> tiktoken.Encoding:
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
     with open(path, encoding="utf-8") as f:
         content = json.load(f)
-    special = {t["content"] for t in content.get("added_tokens", ())}
+    special = {t["content"]: t["id"] for t in content.get("added_tokens", ())}
     ranks = {
         bytes(byte_of[c] for c in token): i for token, i in content["model"]["vocab"].items() if token not in special
     }
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def ids_of(text: str | None, enc: tiktoken.Encoding) -> np.ndarray:
     """The ids of a text (null: none) and the end, unsigned 32-bit."""
-    return np.append(enc.encode_to_numpy(text or "", disallowed_special=()), np.uint32(END))
+    return np.append(enc.encode_to_numpy(text or "", allowed_special="all"), np.uint32(END))
 
 
 def pieces(ids: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray]]:

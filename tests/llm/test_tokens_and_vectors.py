@@ -22,12 +22,12 @@ from tests.llm.fixtures import documents, texts
 @pytest.fixture(scope="module")
 def token_ids():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def test_pieces_and_places(spark, token_ids):
     rows = [*texts(), (400, "<|endoftext|> don't   go\n\n ", None), (401, "été ７ " * 2000, None)]
+    rows += [(402, "a<|endoftext|><|endoftext|> b<|endoftext|", None), (403, " <|endoftext|>\n", None)]
     packed = packing.pack(documents(spark, rows), with_ids=True)
     got = packed.collect()
     by = defaultdict(list)
