@@ -126,16 +126,19 @@ _TOKEN = re.compile(rf"{_WORD}|{_SIGN}|[0-9+]", re.IGNORECASE)
 
 _BOX = r"\x20?[(\[{<]\x20?(?:%s)\x20?[)\]}>]\x20?"
 _BOXED_AT, _BOXED_DOT = _BOX % "at|arroba|@", _BOX % r"dot|punto|point|punkt|\."
-_NAME = r"[A-Za-z0-9_%+-]+"
 _DOTS = rf"(?:\.|{_BOXED_DOT}|\x20(?:dot|punto|point|punkt)\x20)"
-#: A disguised address: a boxed at, or a bare one whose domain has a disguised dot.
-_ADDRESS = re.compile(
-    rf"(?<![A-Za-z0-9._%+-]){_NAME}(?:{_DOTS}{_NAME})*+"
-    rf"(?:(?:{_BOXED_AT}|\x20?@\x20?)[A-Za-z0-9-]+(?:{_DOTS}[A-Za-z0-9-]+)+"
-    rf"|\x20(?:at|arroba)\x20[A-Za-z0-9-]+(?:{_DOTS}[A-Za-z0-9-]+)*?"
-    rf"(?:{_BOXED_DOT}|\x20(?:dot|punto|point|punkt)\x20)[A-Za-z0-9-]+(?:{_DOTS}[A-Za-z0-9-]+)*)",
+#: An at and its domain in a disguised address: a boxed at, or a bare one whose
+#: domain has a disguised dot.
+_AT_DOMAIN = re.compile(
+    rf"(?:{_BOXED_AT}|\x20?@\x20?)[A-Za-z0-9-]++(?:{_DOTS}[A-Za-z0-9-]++)+"
+    rf"|\x20(?:at|arroba)\x20[A-Za-z0-9-]++(?:{_DOTS}[A-Za-z0-9-]++)*?"
+    rf"(?:{_BOXED_DOT}|\x20(?:dot|punto|point|punkt)\x20)[A-Za-z0-9-]++(?:{_DOTS}[A-Za-z0-9-]++)*",
     re.IGNORECASE,
 )
+_NAME_CHARACTERS = _LOCAL - {"."}
+_DOTS_BEFORE = re.compile(rf"{_DOTS}\Z", re.IGNORECASE)
+#: No disguised dot is longer.
+_DOTS_LENGTH = 12
 _BARE_AT = re.compile(r"\x20(?:at|arroba)\x20", re.IGNORECASE)
 # Endings that a bare "at ... dot ..." must have to be an address.
 _TOP_LEVEL = frozenset(
@@ -148,6 +151,7 @@ _DISGUISED_MARK = re.compile(rf"{_BOXED_AT}|{_BOXED_DOT}|\x20@|@\x20|\x20(?:dot|
 _ANY_AT = re.compile(rf"@|{_BOXED_AT}|\x20(?:at|arroba)\x20", re.IGNORECASE)
 #: An address whose only disguise is a space beside its at needs an ending that a domain can have.
 _SPACED_AT = re.compile(r"\x20@|@\x20")
+_NOT_LABEL = re.compile("[^A-Za-z0-9-]")
 _ENDING = re.compile(r"(?:[a-z]{2,}|xn--[a-z0-9-]+)\Z", re.IGNORECASE)
 
 
@@ -235,6 +239,38 @@ def _spelled(m: re.Match) -> str:
     return "".join(out)
 
 
+def _name_start(text: str, end: int, least: int) -> int | None:
+    """Where the dotted name that ends at ``end`` starts, not before ``least``."""
+    start, at = None, end
+    while True:
+        a = at
+        while a > least and text[a - 1] in _NAME_CHARACTERS:
+            a -= 1
+        if a == at:
+            return start
+        if a == 0 or text[a - 1] not in _LOCAL:
+            start = a
+        dots = _DOTS_BEFORE.search(text, max(least, a - _DOTS_LENGTH), a)
+        if not dots:
+            return start
+        at = dots.start()
+
+
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that have the form of a disguised address, found from each at: its
+    domain to the right, then the name to the left."""
+    done = 0
+    m = _AT_DOMAIN.search(text)
+    while m:
+        start = _name_start(text, m.start(), done)
+        if start is None:
+            m = _AT_DOMAIN.search(text, m.start() + 1)
+        else:
+            yield start, m.end()
+            done = m.end()
+            m = _AT_DOMAIN.search(text, done)
+
+
 def rewrite(text: str) -> Rewritten | None:
     """The text without its disguises; None if it has none."""
     out = None
@@ -250,12 +286,13 @@ def rewrite(text: str) -> Rewritten | None:
             now = out.text
     if _DISGUISED_MARK.search(now) and _ANY_AT.search(now):
         changes = []
-        for m in _ADDRESS.finditer(now):
-            if _BARE_AT.search(m.group()) and re.split("[^a-z0-9-]", m.group().lower())[-1] not in _TOP_LEVEL:
+        for a, b in addresses(now):
+            last = _NOT_LABEL.split(now[a:b])[-1]
+            if _BARE_AT.search(now, a, b) and last.lower() not in _TOP_LEVEL:
                 continue  # a sentence such as "look at the dot on it"
-            if _SPACED_AT.search(m.group()) and not _ENDING.search(re.split("[^A-Za-z0-9-]", m.group())[-1]):
+            if _SPACED_AT.search(now, a, b) and not _ENDING.search(last):
                 continue  # a price such as "5 @ 3.50"
-            for k in _MARK.finditer(now, *m.span()):
+            for k in _MARK.finditer(now, a, b):
                 sign = "@" if "@" in k.group() or re.search("at|arroba", k.group(), re.IGNORECASE) else "."
                 if k.group() != sign:
                     changes.append((*k.span(), sign))
