@@ -2,14 +2,16 @@
 
 Texts become TF-IDF vectors of hashed byte bigrams and trigrams (lower case,
 letters only), of unit length. Each language is represented by several
-centroids, found by spherical k-means; the nearest centroid by cosine names
-the language. Short texts lie farther from any centroid than long ones, so the
-distance beyond which a text is rejected is learned for each band of text
-sizes: its cosine must reach LOOSE times the least one of the training texts
-of its band or a larger one.
+centroids, found by spherical k-means, without those of few texts; the nearest
+centroid by cosine names the language. Short texts lie farther from any centroid
+than long ones, so the distance beyond which a text is rejected is learned for each
+language and band of text sizes: its cosine must reach LOOSE times a low quantile
+(QUANTILE) of those of the training texts nearest to that language, of its band and
+of as many shorter ones (then longer ones) as hold POOL texts. A few odd training
+rows, or the worst row of a large corpus, so don't move the limit.
 
 Learned from rows with text and lang outside the held-out fold: document
-frequencies and the least cosines over all of them, the centroids on a sample
+frequencies and histograms of cosines over all of them, the centroids on a sample
 by hash of about SAMPLE texts a language (a documented bound; the prediction
 covers all rows).
 
@@ -22,6 +24,7 @@ ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +39,16 @@ DIM = 4096
 SAMPLE = 600
 CENTROIDS = 4
 FOLDS, HELD_OUT = 4, 2
-LOOSE = 0.6
+#: A centroid of a smaller share of its language's texts is dropped.
+LEAST_SHARE = 0.05
+#: Times that odd rows are left out.
+ROUNDS = 8
+LOOSE = 0.35
+QUANTILE = 0.1
+#: Training texts that a limit rests on, at least, if there are as many.
+POOL = 100
+#: Steps of the histograms of cosines.
+STEPS = 1000
 #: Bands of text sizes: powers of two of the n-grams.
 BANDS = 40
 UNKNOWN = "und"
@@ -84,22 +96,39 @@ def band(n_grams: int) -> int:
     return min(BANDS - 1, n_grams.bit_length())
 
 
-def cluster(x: np.ndarray, k: int) -> np.ndarray:
-    """Centroids by spherical k-means. Starts at the row nearest the mean,
-    then at the rows farthest from all starts."""
+def _k_means(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(centroids, the nearest one of each row). Starts at the row nearest the mean,
+    then at rows drawn by their squared distance from all starts (fixed seed)."""
+    draw = np.random.RandomState(len(x))
     starts = [int(np.argmax(x @ x.mean(0)))]
     while len(starts) < min(k, len(x)):
-        starts.append(int(np.argmin((x @ x[starts].T).max(1))))
+        far = np.maximum(0, 1 - (x @ x[starts].T).max(1)) ** 2 + 1e-12
+        starts.append(int(draw.choice(len(x), p=far / far.sum())))
     c = x[starts]
     for _ in range(12):
         near = (x @ c.T).argmax(1)
         c = np.stack([x[near == j].sum(0) if (near == j).any() else c[j] for j in range(len(c))])
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-    return c
+    return c, (x @ c.T).argmax(1)
+
+
+def cluster(x: np.ndarray, k: int) -> np.ndarray:
+    """Centroids by spherical k-means. Rows of a centroid that less than LEAST_SHARE
+    of all are nearest to are odd ones: the rest is clustered again without them, a
+    few times at most, and what is still small then goes (the largest one never)."""
+    least, rows = LEAST_SHARE * len(x), x
+    for _ in range(ROUNDS):
+        c, near = _k_means(rows, k)
+        members = np.bincount(near, minlength=len(c))
+        kept = members >= min(least, members.max())
+        if kept.all():
+            break
+        rows = rows[kept[near]]
+    return c[kept]
 
 
 class Model:
-    """``limits``: the least cosine by band."""
+    """``limits``: the least cosine by centroid and band."""
 
     def __init__(self, idf: np.ndarray, langs: list[str], centroids: np.ndarray, limits: np.ndarray):
         self.idf, self.langs, self.centroids, self.limits = idf, langs, centroids, limits
@@ -118,30 +147,44 @@ class Model:
         """(language, cosine, rejected) of each text."""
         out = [(UNKNOWN, 0.0, True)] * len(texts)
         for k, b, j, score in self.nearest(texts):
-            out[k] = (self.langs[j], score, score < self.limits[b])
+            out[k] = (self.langs[j], score, score < self.limits[j, b])
         return out
 
-    def lower(self, least: np.ndarray, texts: list[str | None]) -> None:
-        """Lower the least cosines by band to those of ``texts``."""
-        for _, b, _, score in self.nearest(texts):
-            least[b] = min(least[b], score)
 
 
-def _least(rows: DataFrame, model: Model) -> np.ndarray:
-    """The least cosine to the nearest centroid by band, over all ``rows``; 1
-    where a band has none. Texts without a letter don't count."""
+def _histograms(rows: DataFrame, model: Model) -> dict[str, np.ndarray]:
+    """For each language the texts of ``rows`` nearest to it by band and step of the
+    cosine. Texts without a letter don't count."""
     sent = rows.sparkSession.sparkContext.broadcast((model.idf, model.langs, model.centroids, model.limits))
 
     def part(batches: Iterator[list]) -> Iterator[list]:
-        least = np.full(BANDS, 1.0)
+        model, counts = Model(*sent.value), Counter()
         for (texts,) in batches:
-            Model(*sent.value).lower(least, texts)
-        yield list(enumerate(least.tolist()))
+            counts.update((model.langs[j], b, int(score * (STEPS - 1))) for _, b, j, score in model.nearest(texts))
+        yield [(*at, n) for at, n in counts.items()]
+
+    found = map_rows(rows.select("text"), part, "lang string, band int, step int, n long")
+    out = {lang: np.zeros((BANDS, STEPS), np.int64) for lang in model.langs}
+    # At most STEPS rows for each language and band.
+    for lang, b, step, n in found.groupBy("lang", "band", "step").agg(F.sum("n")).collect():
+        out[lang][b, step] = n
+    return out
+
 
-    found = map_rows(rows.select("text"), part, "band int, least double").groupBy("band").agg(F.min("least"))
-    out = np.full(BANDS, 1.0)
-    for b, y in found.collect():  # one row for each band
-        out[b] = y
+def limits_of(counts: np.ndarray) -> np.ndarray:
+    """The least cosine accepted by band, from a language's histograms."""
+    sizes = counts.sum(1)
+    out = np.zeros(BANDS)
+    if not sizes.any():
+        return out
+    for b in range(BANDS):
+        pool, seen = counts[b].copy(), sizes[b]
+        for near in [*range(b - 1, -1, -1), *range(b + 1, BANDS)]:
+            if seen >= POOL:
+                break
+            pool, seen = pool + counts[near], seen + sizes[near]
+        step = int(np.searchsorted(np.cumsum(pool), max(1, QUANTILE * seen)))
+        out[b] = LOOSE * step / (STEPS - 1)
     return out
 
 
@@ -159,7 +202,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     counts = rows.groupBy("lang").count().collect()  # one row for each language
     if not counts:
-        return Model(idf, [], np.zeros((0, DIM), np.float32), np.zeros(BANDS))
+        return Model(idf, [], np.zeros((0, DIM), np.float32), np.zeros((0, BANDS)))
     rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample / r["count"]))])
     part = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) / (1 << 20)
     picked = rows.where(part < rates[F.col("lang")])
@@ -171,12 +214,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     fitted = picked.groupBy("lang").applyInPandas(clustered, "lang string, centroid binary")
     out = sorted(fitted.collect())  # k rows for each language
     if not out:
-        return Model(idf, [], np.zeros((0, DIM), np.float32), np.zeros(BANDS))
+        return Model(idf, [], np.zeros((0, DIM), np.float32), np.zeros((0, BANDS)))
     c = np.stack([np.frombuffer(r["centroid"], "<f4") for r in out])
     langs = [r["lang"] for r in out]
-    least = _least(rows, Model(idf, langs, c, np.zeros(BANDS)))
-    limits = LOOSE * np.minimum.accumulate(least[::-1])[::-1]
-    return Model(idf, langs, c, limits * (limits < LOOSE))
+    found = _histograms(rows, Model(idf, langs, c, np.zeros((len(langs), BANDS))))
+    by_lang = {lang: limits_of(counts) for lang, counts in found.items()}
+    return Model(idf, langs, c, np.stack([by_lang[lang] for lang in langs]))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
