@@ -10,8 +10,9 @@ words at least as long as the shortest window are walked; the rest is one
 dictionary lookup a word.
 
 Cases: a null or empty text has no words and is clean; an item without words
-matches nothing; items with the same text all count; an empty benchmark leaves
-every document clean; repeated documents are each judged; a row without doc_id
+matches nothing; items with the same text all count; rows with one item_id are
+one item; an item without item_id marks the words it hits, but is neither counted
+nor named; an empty benchmark leaves every document clean; repeated documents are each judged; a row without doc_id
 is judged like any other; columns other than those named are ignored.
 """
 
@@ -206,9 +207,9 @@ def judge(docs: DataFrame, items: DataFrame, window: int = WINDOW, shard_bytes:
             rows = []
             for i, (n, hit, names) in zip(ids, _merged(texts, shards)):
                 n_hit = 0 if hit is None else int(hit.sum())
-                joined = ",".join(sorted(x for x in names if x is not None))
-                digest = hashlib.sha256(joined.encode()).hexdigest()
-                rows.append((i, n, n_hit, len(names), digest, _longest(hit), _contaminated(n_hit, n)))
+                named = sorted(x for x in names if x is not None)
+                digest = hashlib.sha256(",".join(named).encode()).hexdigest()
+                rows.append((i, n, n_hit, len(named), digest, _longest(hit), _contaminated(n_hit, n)))
             yield rows
 
     return map_rows(
@@ -243,10 +244,17 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, s
 
 
 def remove_spans(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, min_words: int = WINDOW, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    min_words: int = WINDOW,
+    min_share: float = 1.0,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
-    """The documents with every hit span of at least ``min_words`` words cut
-    out of the text (from its first to its last character); null stays null."""
+    """The documents with every hit span that exceeds a limit cut out of the text
+    (from its first to its last character): those of at least ``min_words`` words,
+    and all spans where hits cover at least ``min_share`` of the document's words.
+    Null stays null."""
     shards = automata(items, window, shard_bytes)
 
     @F.pandas_udf("string")
@@ -256,8 +264,9 @@ def remove_spans(
             if hit is None:
                 continue
             at = [m.span() for m in _WORD.finditer(out[k])]
+            covered = hit.sum() >= min_share * len(hit)
             for a, b in reversed(_spans(hit)):
-                if b - a >= min_words:
+                if covered or b - a >= min_words:
                     out[k] = out[k][: at[a][0]] + out[k][at[b - 1][1] :]
         return pd.Series(out, dtype=object)
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -66,6 +67,22 @@ def test_spans_are_cut_out_of_texts(spark):
     assert got == {1: "before . After", 2: None}
 
 
+def test_short_spans_go_where_they_cover_much(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    texts_ = [(1, "alpha beta gamma end", None), (2, "alpha beta gamma " + "word " * 40, None)]
+    docs = documents(spark, texts_)
+    by_share = {x.doc_id: x.text for x in decontaminate.remove_spans(docs, bench, min_share=0.5).collect()}
+    assert by_share == {1: " end", 2: texts_[1][1]}
+    by_length = {x.doc_id: x.text for x in decontaminate.remove_spans(docs, bench, min_words=3).collect()}
+    assert by_length == {1: " end", 2: " " + "word " * 40}
+
+
+def test_items_without_or_with_the_same_id(spark):
+    bench = spark.createDataFrame([(None, "alpha beta"), ("x", "beta gamma"), ("x", "delta")], "item_id string, text string")
+    (got,) = decontaminate.judge(documents(spark, [(1, "alpha beta gamma delta", None)]), bench).collect()
+    assert (got.n_hit, got.n_items, got.items_sha256) == (4, 1, hashlib.sha256(b"x").hexdigest())
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 
@@ -130,6 +147,14 @@ def test_every_disguise_of_the_grammar_opens_the_gate(text, kind, plain):
     assert pii.redacted(text) == text.replace(plain, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize("unit", ["a dot ", " at dot", "a@", "a at b dot c ", "a.b at c.d", "(at) ", "one two dot ", "4 "])
+def test_long_texts_take_time_in_proportion(unit):
+    end = " x (at) y (dot) org"
+    started = time.process_time()
+    _, spans = pii.all_spans(unit * (1_000_000 // len(unit)) + "," + end)
+    assert "email" in {kind for kind, _, _ in spans} and time.process_time() - started < 60
+
+
 def test_prices_are_no_addresses():
     assert pii.all_spans("2 lbs @ 3.50 each, (dot) 40 @ 1.25, and at most 7 point 5") == ([], [])
 
@@ -183,7 +208,25 @@ def test_limits_come_from_all_training_rows(spark):
     out = langid.predict(fed, langid.fit(fed, sample=10)).collect()
     lettered = {i for i, t, _ in rows + short if langid.has_letter(t)}
     learned = [x for x in out if x.doc_id in lettered and not x.held_out]
-    assert len(learned) > 100 and not any(x.rejected for x in learned)
+    assert len(learned) > 100 and sum(x.rejected for x in learned) <= 0.02 * len(learned)
+
+
+@pytest.mark.parametrize("sample", [langid.SAMPLE, 60])
+def test_odd_labelled_rows_dont_open_the_gate(spark, sample):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    strange = ["ᚠᚢᚦᚨᚱᚲ ", "日本語の文章です。", "Съешь ещё этих ", "שלום עולם ", "qzxj vkwq ", "ภาษาไทย ", "漢字 ", "x7y q9z ", "ქართული "]
+    odd = spark.createDataFrame([(10**6 + 4 * k, t * 30, "en") for k, t in enumerate(strange + strange[:3])], docs.schema)
+    fed = docs.unionByName(odd).cache()
+    model = langid.fit(fed, sample=sample)
+    probes = spark.createDataFrame([(k, t * 50, None) for k, t in enumerate(strange)], docs.schema)
+    assert all(x.rejected for x in langid.predict(probes, model).collect())
+    assert langid.drop_rejected(docs, model).count() >= 0.99 * docs.count()
+
+
+def test_language_of_an_empty_table(spark):
+    empty = documents(spark, [])
+    model = langid.fit(empty)
+    assert model.langs == [] and langid.predict(empty, model).count() == langid.drop_rejected(empty, model).count() == 0
 
 
 def test_licence_rules(spark):
