@@ -59,11 +59,14 @@ def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x, signs, (x * signs).sum(1) / math.sqrt(x.shape[1])
 
 
-def tables_for(n: int, dim: int) -> tuple[int, int]:
-    """(bits of a key, tables) for a label with n class vectors."""
+def tables_for(n: int, dim: int, recall: float = RECALL) -> tuple[int, int]:
+    """(bits of a key, tables) for a label with n class vectors; one table without
+    keys, so that all blocks of a label meet, for a recall of 1."""
+    if recall >= 1:
+        return 0, 1
     bits = min(dim, 32, max(0, math.ceil(math.log2(max(1, n) / GROUP))))
     agree = (1 - math.acos(THRESHOLD) / math.pi) ** bits
-    return bits, 1 if bits == 0 else math.ceil(math.log(1 - RECALL) / math.log(1 - agree))
+    return bits, 1 if bits == 0 else math.ceil(math.log(1 - recall) / math.log(1 - agree))
 
 
 @functools.cache
@@ -92,29 +95,29 @@ def _valid(batches: Iterator[list]) -> Iterator[list]:
         yield rows
 
 
-def _entries(batches: Iterator[list]) -> Iterator[list]:
-    for reps, copies, vecs, sizes in batches:
+def _entries(batches: Iterator[list], recall: float) -> Iterator[list]:
+    for reps, copies, vecs, sizes, labels, dims in batches:
         rows = []
         alike: dict[tuple[int, int], list[int]] = {}  # rows whose keys are made alike
         for r, (v, n) in enumerate(zip(vecs, sizes)):
             alike.setdefault((n, len(v)), []).append(r)
         for (n, _), part in alike.items():
             x = np.stack([np.frombuffer(vecs[r]) for r in part])
-            bits, tables = tables_for(n, x.shape[1])
+            bits, tables = tables_for(n, x.shape[1], recall)
             unit = x / np.linalg.norm(x, axis=1, keepdims=True)
             for r, keys in zip(part, keys_of(unit, bits, tables).tolist()):
-                rows += [(reps[r], copies[r], vecs[r], n, t, k) for t, k in enumerate(keys)]
+                rows += [(reps[r], copies[r], vecs[r], n, labels[r], dims[r], t, k) for t, k in enumerate(keys)]
         yield rows
 
 
-def _compared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+def _compared(key: tuple, pdf: pd.DataFrame, recall: float) -> pd.DataFrame:
     """Links within a block, or between two: (rep, links, root of its part)."""
     _, _, table, _, i, j = key
     pdf = pdf.sort_values("rep")
     x = np.stack([np.frombuffer(v) for v in pdf["vec"]])
     norm = np.linalg.norm(x, axis=1)
     rotated, signs, f = codes(x / norm[:, None])
-    keys = keys_of(x / norm[:, None], *tables_for(int(pdf["n"].iloc[0]), x.shape[1]))
+    keys = keys_of(x / norm[:, None], *tables_for(int(pdf["n"].iloc[0]), x.shape[1], recall))
     rep, m, block = pdf["rep"].to_numpy(), pdf["m"].to_numpy(), pdf["block"].to_numpy()
     bound = EPSILON * np.sqrt(np.maximum(0, 1 - f**2) / f**2 / max(1, x.shape[1] - 1))
     links = np.zeros(len(rep), np.int64)
@@ -149,8 +152,13 @@ def _compared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": rep[own], "links": links[own], "b": rep[[find(k) for k in own]]}).astype("int64")
 
 
-def near_vectors(rows: DataFrame) -> DataFrame:
-    """One row for each vector: vec_id, n_links, component_id, kept."""
+def near_vectors(rows: DataFrame, recall: float = RECALL) -> DataFrame:
+    """One row for each vector: vec_id, n_links, component_id, kept.
+
+    ``recall`` is the probability that a pair at the threshold is found (a closer
+    one: more). With 1 the result is exact: each label's vectors are compared by
+    all pairs of blocks, at a cost that grows with the square of its size.
+    """
     read = rows.select(
         rows["vec_id"].cast("long"), rows["label"].cast("string"), rows["embedding"].cast("array<double>")
     ).where("vec_id IS NOT NULL")
@@ -162,11 +170,11 @@ def near_vectors(rows: DataFrame) -> DataFrame:
     sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("n"))
     sized = classes.join(sizes, ["label", "dim"])
     entries = map_rows(
-        sized.select("rep", "m", "vec", "n"), _entries, "rep long, m long, vec binary, n long, table int, key long"
+        sized.select("rep", "m", "vec", "n", "label", "dim"),
+        lambda it: _entries(it, recall),
+        "rep long, m long, vec binary, n long, label string, dim int, table int, key long",
     )
-    # A class's label and length are told by its rep when groups are formed.
-    named = entries.join(classes.select("rep", "label", "dim").distinct(), "rep")
-    keyed = stored(named)
+    keyed = stored(entries)
     where = ["label", "dim", "table", "key"]
     blocks = F.ceil(F.count("*") / F.lit(BLOCK)).cast("int")
     groups = keyed.groupBy(*where).agg(blocks.alias("blocks"), F.count("*").alias("size")).where("size > 1")
@@ -179,8 +187,12 @@ def near_vectors(rows: DataFrame) -> DataFrame:
         .withColumn("j", F.greatest("block", "other"))
         .select(*where, "i", "j", "rep", "m", "vec", "n", "block")
     )
+
+    def compared(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return _compared(key, pdf, recall)
+
     found = stored(
-        copies.groupBy("label", "dim", "table", "key", "i", "j").applyInPandas(_compared, "a long, links long, b long")
+        copies.groupBy("label", "dim", "table", "key", "i", "j").applyInPandas(compared, "a long, links long, b long")
     )
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     roots = components(found.select("a", "b"))

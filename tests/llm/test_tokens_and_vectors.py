@@ -183,6 +183,25 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, group, block):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_recall_of_the_whole_path_and_the_exact_mode(spark):
+    rng = np.random.RandomState(5)
+    base = rng.normal(size=(3000, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    side = rng.normal(size=base.shape)
+    side -= (side * base).sum(1)[:, None] * base
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cosine = rng.uniform(0.9301, 0.95, len(base))[:, None]
+    x = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * side])
+    rows = [(k, 1, v.tolist()) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>").repartition(4).cache()
+    there = x @ x.T >= vectors.THRESHOLD
+    np.fill_diagonal(there, False)
+    exact = {r.vec_id: r.n_links for r in vectors.near_vectors(df, recall=1.0).collect()}
+    assert exact == dict(enumerate(there.sum(1).tolist())) and sum(exact.values()) >= 6000
+    found = sum(r.n_links for r in vectors.near_vectors(df).collect())
+    assert 0.985 * sum(exact.values()) <= found <= sum(exact.values())
+
+
 @pytest.mark.parametrize("n", [50_000, 1_000_000, 10_000_000])
 def test_pairs_at_the_threshold_share_a_key(n):
     rng = np.random.RandomState(3)
