@@ -29,13 +29,16 @@ documents link when their sets have a Jaccard similarity of at least 0.75.
 Cases: a text without words (null or empty) has an empty set, links with
 nothing and is its own component; with fewer than five words the whole
 sequence is the only shingle; equal texts, also under one doc_id, are one
-class; rows without doc_id are left out; other columns are ignored.
+class; rows that share a doc_id but differ in their text are judged each, and a
+component is named by the least doc_id of its rows; rows without doc_id are left
+out; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -48,6 +51,8 @@ from lendlake.llm.graph import components
 from lendlake.llm.tables import map_rows, stored
 
 SIZE = 5
+#: Seed with which xxhash64 gives what the SQL function of that name does.
+HASH_SEED = 42
 PERCENT = 75
 #: Shingles of more representatives than this are frequent.
 RARE = 16
@@ -119,7 +124,7 @@ def _hash_blobs(batches: Iterator[list], buckets: int) -> Iterator[list]:
 
 
 def _survivors(batches: Iterator[list], buckets: int) -> Iterator[list]:
-    """(doc_id, n, digest, shared): shared is null for documents that can't link."""
+    """(doc_id, n, text_hash, digest, shared): shared is null for documents that can't link."""
     for columns in batches:
         for chunk, n, payload, answers in zip(*columns):
             c = C.unpack(chunk, n, payload)
@@ -131,13 +136,14 @@ def _survivors(batches: Iterator[list], buckets: int) -> Iterator[list]:
                 bits = np.frombuffer(C.unsqueeze(a["flags"]), np.uint8)
                 shared[lo:hi] |= np.unpackbits(bits, count=hi - lo).astype(bool)
             rows = []
-            for i, s in zip(c.ids.tolist(), sets):
+            for (i, text), s in zip(c.texts(), sets):
+                text_hash = int(np.uint64(xxhash.xxh64_intdigest(text or b"", HASH_SEED)).view(np.int64))
                 keep = s[shared[np.searchsorted(mine, s >> np.uint64(64 - BITS))]] if len(s) else s
                 if len(s) and len(keep) >= _need(len(s)):
                     digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    rows.append((i, len(s), digest, keep.tobytes()))
+                    rows.append((i, len(s), text_hash, digest, keep.tobytes()))
                 else:
-                    rows.append((i, len(s), None, None))
+                    rows.append((i, len(s), text_hash, None, None))
             yield rows
 
 
@@ -384,8 +390,9 @@ def _leftover_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
     return verify(pairs, sets).union(in_blocks)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row for each document with doc_id: doc_id, n_shingles, component_id."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """One row for each document with doc_id: doc_id, n, text_hash, component_id,
+    and root, the component's number (null: it can't link)."""
     chunked = C.pack_chunks(docs)
     size = chunked.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
     buckets = C.bucket_count(3 * size)
@@ -395,15 +402,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         map_rows(
             answered.select("chunk", "n", "payload", "answers"),
             lambda it: _survivors(it, buckets),
-            "doc_id long, n int, digest binary, shared binary",
+            "doc_id long, n int, text_hash long, digest binary, shared binary",
         )
     )
     maybe = scanned.where("digest IS NOT NULL")
-    classes = maybe.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    members = maybe.select("doc_id", "n", "digest").join(classes, "digest").select("doc_id", "n", "rep")
-    alone = scanned.where("digest IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    # Classes get numbers of their own: rows with one doc_id may hold different texts.
+    numbered = maybe.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    classes = stored(numbered.withColumn("rep", F.monotonically_increasing_id()))
     sets = stored(
-        maybe.join(classes, (maybe["digest"] == classes["digest"]) & (maybe["doc_id"] == classes["rep"]))
+        maybe.join(classes, (maybe["digest"] == classes["digest"]) & (maybe["doc_id"] == classes["first"]))
         .select("rep", "n", "shared")
         .dropDuplicates(["rep"])
     )
@@ -417,17 +424,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = stored(links.union(verify(_stars(_connected(entries, links), seed), sets)))
     links = stored(links.union(_leftover_links(_connected(entries, links), sets)))
     final = components(links)
-    placed = members.join(final, members["rep"] == final["node"], "left").select(
-        "doc_id", "n", F.coalesce("root", "rep").alias("component_id")
-    )
-    return placed.union(alone).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    roots = classes.join(final, classes["rep"] == final["node"], "left")
+    roots = stored(roots.select("digest", "first", F.coalesce("root", "rep").alias("root")))
+    leasts = roots.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = roots.join(leasts, "root").select("digest", "root", "component_id")
+    placed = maybe.select("doc_id", "n", "text_hash", "digest").join(named, "digest")
+    alone = scanned.where("digest IS NULL").withColumns({"component_id": F.col("doc_id"), "root": F.lit(None).cast("long")})
+    columns = ["doc_id", "n", "text_hash", "component_id", "root"]
+    return placed.select(*columns).union(alone.select(*columns))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row for each document with doc_id: doc_id, n_shingles, component_id."""
+    return _placed(docs).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, with all their columns, that are the first of their
-    component: one row of each group stays, and one of those with the same
-    doc_id. Rows without doc_id stay."""
-    firsts = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    ids = docs["doc_id"].cast("long")
-    kept = docs.join(firsts, ids == firsts["first_id"], "left_semi").dropDuplicates(["doc_id"])
+    component: of each group the row of least doc_id stays (one row, if several
+    have it), and of equal rows without words one. Rows without doc_id stay."""
+    rows = _placed(docs)
+    least = F.min(F.struct("doc_id", "text_hash")).alias("row")
+    of_groups = rows.where("root IS NOT NULL").groupBy("root").agg(least).select("row.*")
+    alone = rows.where("root IS NULL").select("doc_id", "text_hash").distinct()
+    firsts = of_groups.union(alone).toDF("first_id", "first_hash")
+    own = next(c for c in (f"text_hash{k}" for k in count()) if c not in docs.columns)
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    hashed = docs.where(docs["doc_id"].isNotNull()).withColumn(own, F.xxhash64(text))
+    same = (hashed["doc_id"].cast("long") == firsts["first_id"]) & (hashed[own] == firsts["first_hash"])
+    kept = hashed.join(firsts, same, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
     return kept.unionByName(docs.where(docs["doc_id"].isNull()))

@@ -76,6 +76,16 @@ def test_keep_one_keeps_columns_and_one_of_each_group(spark):
     assert ids.count(None) == 2
 
 
+def test_rows_that_share_an_id_are_judged_each(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(60)) for c in "ab")
+    near = two.replace("b30", "other")
+    rows = [(5, one, None), (5, two, None), (9, near, None), (5, one, None), (7, "", None), (7, None, None), (7, "x", None)]
+    got = sorted((r.doc_id, r.component_id) for r in jaccard.near_duplicates(documents(spark, rows)).collect())
+    assert got == [(5, 5)] * 3 + [(7, 7)] * 3 + [(9, 5)]
+    kept = sorted((r.doc_id, r.text or "") for r in jaccard.keep_one(documents(spark, rows)).collect())
+    assert kept == sorted([(5, one), (5, two), (7, ""), (7, "x")])
+
+
 def brute_repeats(rows):
     first: dict[bytes, int] = {}
     data = [(i, (t or "").encode()) for i, t in rows]
