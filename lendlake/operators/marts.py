@@ -97,7 +97,13 @@ def cartera_facts(
     payments: DataFrame,
 ) -> DataFrame:
     """One row per valid, normal installment of a valid loan with what was paid."""
-    paid = payments_per_installment(payments)
+    return facts_with_totals(customers, loans, installments, payments_per_installment(payments))
+
+
+def facts_with_totals(
+    customers: DataFrame, loans: DataFrame, installments: DataFrame, paid: DataFrame
+) -> DataFrame:
+    """The facts from payments that are already summed per installment."""
     j = normal_installments(installments).join(paid, "installment_id", "left").join(
         enriched_loans(loans, customers), "loan_id", "inner"
     )

@@ -33,6 +33,7 @@ from lendlake.operators.marts import as_of as mart_as_of
 from lendlake.operators.ranking import global_row_number
 from lendlake.operators.staging import REJECTED_COLUMNS
 from lendlake.plans import catalog
+from lendlake.plans.bucketed import BucketedStaging
 from lendlake.plans.layers import Settings
 from lendlake.plans.registry import TEST_SETTINGS, Ctx, query
 from lendlake.sources.adapters import TEST_SEGMENTS
@@ -540,3 +541,14 @@ def _k5d(c: Ctx):
     return displaced(_events(c), "user_id", ["ts", "event_id"]).select(
         "event_id", "user_id", F.col("chosen.event_id").alias("chosen_event_id"), "reason", "copies"
     )
+
+
+def _from_buckets(c: Ctx):
+    """The marts over staging stored in buckets of their join keys."""
+    store = BucketedStaging(c.spark, f"{catalog.table_root(c.spark)}/staging-{uuid.uuid4().hex}")
+    store.store(c.raw, c.settings)
+    return store.marts(c.settings)
+
+
+query("a6_cartera_from_buckets")(lambda c: _from_buckets(c).cartera)
+query("a7_resumen_from_buckets")(lambda c: _from_buckets(c).resumen)

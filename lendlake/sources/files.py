@@ -31,6 +31,11 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(path))
 
+    def lengths(self, folder: str) -> dict[str, int]:
+        """Bytes of each file in a folder."""
+        listed = self._fs.listStatus(self._path(folder))
+        return {s.getPath().getName(): s.getLen() for s in listed if s.isFile()}
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
