@@ -87,8 +87,13 @@ def _from_units(c, scale: int):
 
 
 def installments_from_tpch(lineitem: DataFrame) -> DataFrame:
-    """installments <- lineitem grouped by (orderkey, linenumber)."""
-    g = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+    """installments <- lineitem grouped by (orderkey, linenumber).
+
+    Lines are dealt by order: the grouping and the join to the loans, whose key it
+    is, then need no further exchange. Nearly every line is an installment of its
+    own, so summing before the exchange would only fill memory and spill.
+    """
+    g = lineitem.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_shipdate").alias("ship"),
         F.sum(_units("l_extendedprice", 100)).alias("principal"),
         F.sum(_units("l_quantity", 100)).alias("interest"),
@@ -111,10 +116,12 @@ def payments_from_tpch(lineitem: DataFrame) -> DataFrame:
     """payments <- lineitem grouped by (orderkey, linenumber, partkey, suppkey).
 
     The amount is 12 x sum(price x discount) rounded half-up to cents; the
-    products are summed exactly in 1/10000 units.
+    products are summed exactly in 1/10000 units. Lines are dealt by installment
+    id, so grouping and joining the payments by it needs no further exchange.
     """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    g = lineitem.groupBy(*keys).agg(
+    lines = lineitem.withColumn("installment_id", _installment_key(F.col("l_orderkey"), F.col("l_linenumber")))
+    g = lines.repartition("installment_id").groupBy("installment_id", *keys).agg(
         F.max("l_shipdate").alias("ship"),
         F.sum(_units("l_extendedprice", 100) * _units("l_discount", 100)).alias("paid"),
     )
@@ -128,7 +135,7 @@ def payments_from_tpch(lineitem: DataFrame) -> DataFrame:
     return g.select(
         F.concat_ws("-", *[F.col(k).cast("string") for k in keys]).alias("payment_id"),
         (F.col("l_orderkey") + F.when(part % 50 == 0, 1).otherwise(0)).alias("loan_id"),
-        _installment_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("installment_id"),
+        F.col("installment_id"),
         F.date_add(F.col("ship").cast("date"), (supp % 10).cast("int")).alias("payment_date"),
         (_from_units("paid", 10000) * F.lit(12)).cast(MONEY).alias("payment_amount"),
         channel.alias("payment_channel"),
