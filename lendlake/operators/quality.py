@@ -266,7 +266,12 @@ def reject_classes(payments: DataFrame) -> DataFrame:
 
 
 def mart_statistics(staged, mart: DataFrame, summary: DataFrame) -> DataFrame:
-    """Headline figures of the mart as (metric, value) rows."""
+    """Headline figures of the mart as (metric, value) rows.
+
+    ``summary`` is the loan summary of ``mart``: it adds up every row of the mart, so
+    the mart's sums are those of the summary and its wide rows are made once. Only
+    the loans with a late installment are read from the mart itself.
+    """
     val = K.MONEY_SUM
     c = staged.customers.agg(count_if(F.col("is_valid")).cast(val).alias("valid_customers"))
     lo = staged.loans.agg(
@@ -277,17 +282,18 @@ def mart_statistics(staged, mart: DataFrame, summary: DataFrame) -> DataFrame:
         count_if(F.col("is_valid")).cast(val).alias("valid_payments"),
         count_if(~F.col("is_valid")).cast(val).alias("rejected_payments"),
     )
-    m = mart.agg(
-        F.count(F.lit(1)).cast(val).alias("mart_installments"),
-        F.sum("total_due").cast(val).alias("programmed"),
+    m = summary.agg(
+        F.coalesce(F.sum("num_installments"), F.lit(0)).cast(val).alias("mart_installments"),
+        F.sum("total_programmed").cast(val).alias("programmed"),
         F.sum("total_paid").cast(val).alias("collected"),
-        F.sum("balance_due").cast(val).alias("balance"),
-        F.sum(F.when(F.col("is_overdue"), F.col("balance_due")).otherwise(0)).cast(val).alias("arrears"),
-        F.countDistinct(F.when(F.col("installment_status") == "LATE", F.col("loan_id")))
-        .cast(val).alias("loans_with_late_installment"),
+        F.sum("total_balance_due").cast(val).alias("balance"),
+        F.sum("saldo_mora").cast(val).alias("arrears"),
+        count_if(F.col("saldo_mora") > 0).cast(val).alias("loans_in_arrears"),
+    )
+    late = mart.where(F.col("installment_status") == "LATE").agg(
+        F.countDistinct("loan_id").cast(val).alias("loans_with_late_installment")
     )
-    s = summary.agg(count_if(F.col("saldo_mora") > 0).cast(val).alias("loans_in_arrears"))
-    parts = [c, lo, p, m, s]
+    parts = [c, lo, p, m, late]
     return reduce(
         DataFrame.unionByName,
         [

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from lendlake.operators import quality
 from lendlake.plans.registry import queries
 from lendlake.sources.adapters import installments_from_tpch, payments_from_tpch
 from tests.conftest import SMOKE
@@ -29,3 +30,23 @@ def test_copies_and_null_keys_of_lines_are_grouped_as_before(spark):
 def test_staged_installments_move_once(spark, without_broadcasts):  # noqa: F811
     # customers and nations, customers and loans to each other, loans by loan, lines by order
     assert exchanges(queries()["c7_reason_rule"](spark, SMOKE)) <= 6
+
+
+def test_mart_statistics_sum_the_summary(spark):
+    class Staged:
+        customers = spark.createDataFrame([(True,), (False,)], "is_valid boolean")
+        loans = spark.createDataFrame([(True, 5), (False, 7)], "is_valid boolean, principal_amount int")
+        payments = customers
+
+    mart = spark.createDataFrame(
+        [("L1", "LATE"), ("L1", "LATE"), ("L2", "PAID")], "loan_id string, installment_status string")
+    columns = "num_installments long, total_programmed int, total_paid int, total_balance_due int, saldo_mora int"
+    summary = spark.createDataFrame([(2, 30, 10, 20, 20), (1, 5, 5, 0, 0)], columns)
+    got = {r.metric: int(r.value) for r in quality.mart_statistics(Staged, mart, summary).collect()}
+    assert got == {
+        "valid_customers": 1, "valid_loans": 1, "disbursed": 5, "valid_payments": 1, "rejected_payments": 1,
+        "mart_installments": 3, "programmed": 35, "collected": 15, "balance": 20, "arrears": 20,
+        "loans_in_arrears": 1, "loans_with_late_installment": 1,
+    }
+    none = {r.metric: r.value for r in quality.mart_statistics(Staged, mart.limit(0), summary.limit(0)).collect()}
+    assert none["mart_installments"] == 0 and none["programmed"] is None
