@@ -49,11 +49,12 @@ class BucketedStaging:
 
         ``buckets`` should be at least the session's shuffle partitions (the
         default): Spark shuffles a table with fewer buckets again."""
-        n = buckets or int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        n = buckets or dealt
         tables: dict[str, dict] = {}
 
-        def kept(name: str, key: str, df: DataFrame) -> DataFrame:
-            write_bucketed(df, self._path(name), key, n)
+        def kept(name: str, key: str, df: DataFrame, grouped: bool = False) -> DataFrame:
+            write_bucketed(df, self._path(name), key, n, dealt=grouped and n == dealt)
             tables[name] = {"key": key, "buckets": n, "schema": df.schema.jsonValue()}
             return read_bucketed(self._spark, self._path(name), df.schema, key, n)
 
@@ -68,7 +69,7 @@ class BucketedStaging:
         payments.write.parquet(self._path(PAYMENTS))
         tables[PAYMENTS] = {"schema": payments.schema.jsonValue()}
         totals = marts.payments_per_installment(self._plain(PAYMENTS, payments.schema))
-        kept("payment_totals", "installment_id", totals)
+        kept("payment_totals", "installment_id", totals, grouped=True)
         self._files.create(self._path(MANIFEST), json.dumps({"tables": tables}))
 
     def _plain(self, name: str, schema: T.StructType) -> DataFrame:

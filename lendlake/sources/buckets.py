@@ -27,12 +27,13 @@ _BUCKET = re.compile(r"_(\d{5,})(?:\.|$)")
 _SKEW = "spark.sql.adaptive.skewJoin.skewedPartition"
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, dealt: bool = False) -> None:
     """``df`` as a new folder of Parquet files in ``buckets`` buckets of ``key``,
-    sorted by it within a file."""
+    sorted by it within a file. ``dealt``: its last step is an aggregate by ``key``
+    over as many shuffle partitions, so each bucket is in one task already."""
     spark = df.sparkSession
     name = f"bucketed_{uuid.uuid4().hex}"
-    spread = df.hint("rebalance", buckets, key)
+    spread = df if dealt else df.hint("rebalance", buckets, key)
     spread.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # the entry only; the files are not the catalog's
 

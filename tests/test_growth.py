@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from lendlake.operators import quality
 from lendlake.plans.registry import queries
 from lendlake.sources.adapters import installments_from_tpch, payments_from_tpch
@@ -50,3 +52,16 @@ def test_mart_statistics_sum_the_summary(spark):
     }
     none = {r.metric: r.value for r in quality.mart_statistics(Staged, mart.limit(0), summary.limit(0)).collect()}
     assert none["mart_installments"] == 0 and none["programmed"] is None
+
+
+def test_totals_by_key_are_stored_without_another_exchange(spark, tmp_path):
+    from lendlake.sources.buckets import bucket_bytes, read_bucketed, write_bucketed
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(1000).groupBy((F.col("id") % 90).alias("k")).agg(F.count("*").alias("n"))
+    path = str(tmp_path / "t")
+    write_bucketed(df, path, "k", n, dealt=True)
+    assert len(list((tmp_path / "t").glob("*.parquet"))) <= n and len(bucket_bytes(spark, path)) <= n
+    back = read_bucketed(spark, path, df.schema, "k", n)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert exchanges(back.groupBy("k").agg(F.max("n"))) == 0
