@@ -34,7 +34,7 @@ from lendlake.operators.ranking import global_row_number
 from lendlake.operators.staging import REJECTED_COLUMNS
 from lendlake.plans import catalog
 from lendlake.plans.bucketed import BucketedStaging
-from lendlake.plans.layers import Settings
+from lendlake.plans.layers import Settings, stored
 from lendlake.plans.registry import TEST_SETTINGS, Ctx, query
 from lendlake.sources.adapters import TEST_SEGMENTS
 from lendlake.sources.versions import VersionedTable
@@ -506,7 +506,9 @@ query("k3_touched_partitions")(
 def _k2b(c: Ctx):
     """The payments up to the mark as a stored table in key buckets, into which those
     after it are merged: only their buckets are written anew."""
-    p = c.raw.payments
+    # Derived from the source once: both batches, and the search for the second one's
+    # buckets, are filters over the stored rows.
+    p = stored("raw_payments", c.raw.payments)
     mark = inc.as_mark(PAYMENTS_MARK)
     table = _scratch_table(c, "payments")
     for part in (p.where(F.col("loaded_at") <= mark), p.where(F.col("loaded_at") > mark)):

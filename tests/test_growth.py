@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lendlake.operators import quality
+from lendlake.plans import registry_more
 from lendlake.plans.registry import queries
 from lendlake.sources.adapters import installments_from_tpch, payments_from_tpch
 from tests.conftest import SMOKE
@@ -16,6 +17,10 @@ LINES = (
 )
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_copies_and_null_keys_of_lines_are_grouped_as_before(spark):
     day = dt.datetime(1995, 1, 1)
     line = (1, 2, 7, 5, 100.0, 1.0, 0.5, "N", "O", day)
@@ -34,6 +39,16 @@ def test_staged_installments_move_once(spark, without_broadcasts):  # noqa: F811
     assert exchanges(queries()["c7_reason_rule"](spark, SMOKE)) <= 6
 
 
+def test_upserted_batches_are_scans_of_stored_payments(spark, monkeypatch):
+    seen = []
+    merge = registry_more.merge_into
+    monkeypatch.setattr(registry_more, "merge_into", lambda t, part, *a, **k: (seen.append(part), merge(t, part, *a, **k))[1])
+    queries()["k2_bucketed_upsert"](spark, SMOKE)
+    assert len(seen) == 2
+    for df in seen:
+        assert "lineitem" not in _plan(df) and "Aggregate" not in _plan(df)
+
+
 def test_mart_statistics_sum_the_summary(spark):
     class Staged:
         customers = spark.createDataFrame([(True,), (False,)], "is_valid boolean")
