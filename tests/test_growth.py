@@ -39,6 +39,16 @@ def test_staged_installments_move_once(spark, without_broadcasts):  # noqa: F811
     assert exchanges(queries()["c7_reason_rule"](spark, SMOKE)) <= 6
 
 
+def test_the_rebuilt_mart_reads_stored_facts(spark, monkeypatch):
+    seen = []
+    rebuild = registry_more.inc.rebuild_partitions
+    monkeypatch.setattr(registry_more.inc, "rebuild_partitions", lambda m, t, *a: (seen.extend([m, t]), rebuild(m, t, *a))[1])
+    queries()["k3_rebuilt_mart"](spark, SMOKE)
+    assert len(seen) == 2
+    for df in seen:
+        assert "lineitem" not in _plan(df) and "Join" not in _plan(df)
+
+
 def test_upserted_batches_are_scans_of_stored_payments(spark, monkeypatch):
     seen = []
     merge = registry_more.merge_into
