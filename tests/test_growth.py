@@ -59,6 +59,14 @@ def test_upserted_batches_are_scans_of_stored_payments(spark, monkeypatch):
         assert "lineitem" not in _plan(df) and "Aggregate" not in _plan(df)
 
 
+def test_the_mart_is_joined_and_moved_once(spark, without_broadcasts):  # noqa: F811
+    # The installments with their loans (six, in two branches that share them when
+    # they run), payments, chosen installments and the mart's rows.
+    assert exchanges(queries()["a6_dm_cartera"](spark, SMOKE)) <= 15
+    assert exchanges(queries()["q05_dataset_bi"](spark, SMOKE)) <= 16
+    assert exchanges(queries()["k15_mart_statistics"](spark, SMOKE)) <= 36
+
+
 def test_mart_statistics_sum_the_summary(spark):
     class Staged:
         customers = spark.createDataFrame([(True,), (False,)], "is_valid boolean")
