@@ -65,6 +65,7 @@ def test_the_mart_is_joined_and_moved_once(spark, without_broadcasts):  # noqa:
     assert exchanges(queries()["a6_dm_cartera"](spark, SMOKE)) <= 15
     assert exchanges(queries()["b8_run_parameter"](spark, SMOKE)) <= 16
     assert exchanges(queries()["q05_dataset_bi"](spark, SMOKE)) <= 16
+    assert exchanges(queries()["q03_cartera_por_cohorte"](spark, SMOKE)) <= 18
     assert exchanges(queries()["k15_mart_statistics"](spark, SMOKE)) <= 36
 
 
