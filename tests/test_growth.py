@@ -100,3 +100,14 @@ def test_totals_by_key_are_stored_without_another_exchange(spark, tmp_path):
     back = read_bucketed(spark, path, df.schema, "k", n)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     assert exchanges(back.groupBy("k").agg(F.max("n"))) == 0
+
+
+def test_only_the_totals_are_stored_as_dealt(spark, monkeypatch):
+    from lendlake.plans import bucketed
+
+    seen = {}
+    write = bucketed.write_bucketed
+    monkeypatch.setattr(bucketed, "write_bucketed", lambda df, path, key, n, dealt=False: (
+        seen.update({path.rsplit("/", 1)[1]: dealt}), write(df, path, key, n, dealt=dealt))[1])
+    queries()["a7_resumen_from_buckets"](spark, SMOKE)
+    assert seen == {"stg_customers": False, "stg_loans": False, "stg_installments": False, "payment_totals": True}
