@@ -151,6 +151,10 @@ def installment_rules(missing_loan: Column) -> list:
     ]
 
 
+def total_due() -> Column:
+    return (F.col("principal_due") + F.col("interest_due")).cast("decimal(19,2)")
+
+
 def installment_columns() -> list:
     return [
         F.col("installment_id"),
@@ -159,7 +163,7 @@ def installment_columns() -> list:
         F.col("due_date"),
         F.col("principal_due"),
         F.col("interest_due"),
-        (F.col("principal_due") + F.col("interest_due")).cast("decimal(19,2)").alias("total_due"),
+        total_due().alias("total_due"),
         clean_upper("installment_status").alias("installment_status"),
     ]
 

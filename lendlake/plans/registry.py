@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendlake.operators import questions, views
+from lendlake.operators import marts, questions, views
 from lendlake.plans.layers import Settings, stage, stored
 from lendlake.sources.adapters import TEST_ANALYSIS_DATE, TEST_SEGMENTS, inputs_from_tpch
 
@@ -76,17 +76,24 @@ class Ctx:
         # is then computed a single time); others keep one lazy plan.
         return stage(self.raw, self.settings, persist=stored if self.store_staging else None)
 
+    def _cartera(self, build: Callable[..., DataFrame], **how) -> DataFrame:
+        r = self.raw
+        return build(
+            r.customers, r.loans, r.installments, r.payments,
+            self.settings.analysis_date, self.settings.segments, **how,
+        )
+
     @cached_property
     def marts(self):
-        from lendlake.operators import marts as M
         from lendlake.plans.layers import Marts
 
-        r = self.raw
-        cartera = M.dm_cartera_from_inputs(
-            r.customers, r.loans, r.installments, r.payments,
-            self.settings.analysis_date, self.settings.segments,
-        )
-        return Marts(cartera, M.dm_resumen_credito(cartera))
+        cartera = self._cartera(marts.dm_cartera_from_inputs)
+        return Marts(cartera, marts.dm_resumen_credito(self.mart_by_loan))
+
+    @cached_property
+    def mart_by_loan(self) -> DataFrame:
+        """The mart for queries that read its paid amounts and need it by loan or in whole."""
+        return self._cartera(marts.dm_cartera_by_loan)
 
     @property
     def mart(self) -> DataFrame:
@@ -112,7 +119,7 @@ class Ctx:
 
     @cached_property
     def bi(self) -> DataFrame:
-        return views.vw_bi_completo(self.mart)
+        return views.vw_bi_completo(self.mart_by_loan)
 
 
 def query(name: str, store_staging: bool = False):
@@ -133,7 +140,7 @@ query("a2_stg_loans")(lambda c: c.staged.loans)
 query("a3_stg_installments")(lambda c: c.staged.installments)
 query("a4_stg_payments")(lambda c: c.staged.payments)
 query("a5_payments_rejected")(lambda c: c.staged.rejected_payments)
-query("a6_dm_cartera")(lambda c: c.mart)
+query("a6_dm_cartera")(lambda c: c.mart_by_loan)
 query("a7_dm_resumen_credito")(lambda c: c.summary)
 query("a8_vw_originacion_diaria")(lambda c: c.origination)
 query("a9_vw_recaudo_diario")(lambda c: c.collections)
@@ -147,7 +154,7 @@ query("q01d_desembolso_dia_ciudad_segmento")(
     lambda c: questions.q01d_disbursed_by_day_city_segment(c.origination)
 )
 query("q02_recaudo_diario")(lambda c: questions.q02_collections_by_day(c.collections))
-query("q03_cartera_por_cohorte")(lambda c: questions.q03_cohort_health(c.mart))
+query("q03_cartera_por_cohorte")(lambda c: questions.q03_cohort_health(c.mart_by_loan))
 query("q03_principal_distinct")(lambda c: questions.q03_principal_per_cohort(c.summary))
 query("q04_top_atraso")(lambda c: questions.q04_top_arrears(c.summary))
 query("q05_dataset_bi")(lambda c: questions.q05_bi_dataset(c.bi))

@@ -532,7 +532,7 @@ def _k3r(c: Ctx):
     table = _scratch_table(c, "cartera_facts")
     table.replace(before.select(*FACT_COLUMNS), "cohort_month")
     # The whole mart is made once: the touched cohorts are found and rebuilt from it.
-    facts = stored("cartera_facts", c.mart.select(*FACT_COLUMNS))
+    facts = stored("cartera_facts", c.mart_by_loan.select(*FACT_COLUMNS))
     new = inc.new_rows(raw.payments, "loaded_at", PAYMENTS_MARK)
     touched = inc.touched_partitions(facts, new, "installment_id", "cohort_month")
     inc.rebuild_partitions(facts, stored("touched_cohorts", touched), table)

@@ -91,15 +91,24 @@ def installments_from_tpch(lineitem: DataFrame) -> DataFrame:
 
     Lines are dealt by order: the grouping and the join to the loans, whose key it
     is, then need no further exchange. Nearly every line is an installment of its
-    own, so summing before the exchange would only fill memory and spill.
+    own, so summing before the exchange would only fill memory and spill. Lines move
+    as the numbers to be summed, no more.
     """
-    g = lineitem.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
+    lines = lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_shipdate",
+        _units("l_extendedprice", 100).alias("price"),
+        _units("l_quantity", 100).alias("quantity"),
+        # returnflag || linestatus as an integer code, so the aggregate keeps a
+        # fixed-width buffer and runs hash-based.
+        (F.ascii("l_returnflag") * 256 + F.ascii("l_linestatus")).alias("code"),
+    )
+    g = lines.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_shipdate").alias("ship"),
-        F.sum(_units("l_extendedprice", 100)).alias("principal"),
-        F.sum(_units("l_quantity", 100)).alias("interest"),
-        # max(returnflag || linestatus) as an integer code, so the aggregate
-        # keeps a fixed-width buffer and runs hash-based.
-        F.max(F.ascii("l_returnflag") * 256 + F.ascii("l_linestatus")).alias("flags"),
+        F.sum("price").alias("principal"),
+        F.sum("quantity").alias("interest"),
+        F.max("code").alias("flags"),
     )
     return g.select(
         _installment_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("installment_id"),
@@ -117,13 +126,19 @@ def payments_from_tpch(lineitem: DataFrame) -> DataFrame:
 
     The amount is 12 x sum(price x discount) rounded half-up to cents; the
     products are summed exactly in 1/10000 units. Lines are dealt by installment
-    id, so grouping and joining the payments by it needs no further exchange.
+    id, so grouping and joining the payments by it needs no further exchange; the id
+    itself is made again where they arrive.
     """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    lines = lineitem.withColumn("installment_id", _installment_key(F.col("l_orderkey"), F.col("l_linenumber")))
-    g = lines.repartition("installment_id").groupBy("installment_id", *keys).agg(
+    lines = lineitem.select(
+        *keys,
+        "l_shipdate",
+        (_units("l_extendedprice", 100) * _units("l_discount", 100)).alias("product"),
+    )
+    key = _installment_key(F.col("l_orderkey"), F.col("l_linenumber"))
+    g = lines.repartition(key).withColumn("installment_id", key).groupBy("installment_id", *keys).agg(
         F.max("l_shipdate").alias("ship"),
-        F.sum(_units("l_extendedprice", 100) * _units("l_discount", 100)).alias("paid"),
+        F.sum("product").alias("paid"),
     )
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
     channel = _map(supp % 5, dict(enumerate(CHANNELS)))

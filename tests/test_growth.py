@@ -69,6 +69,29 @@ def test_the_mart_is_joined_and_moved_once(spark, without_broadcasts):  # noqa:
     assert exchanges(queries()["k15_mart_statistics"](spark, SMOKE)) <= 36
 
 
+def test_the_summary_needs_no_exchange_after_the_mart(spark, without_broadcasts):  # noqa: F811
+    qs = queries()
+    assert exchanges(qs["b8_run_parameter"](spark, SMOKE)) <= exchanges(qs["a6_dm_cartera"](spark, SMOKE))
+
+
+def test_installments_move_without_their_loan_or_totals(spark, without_broadcasts):  # noqa: F811
+    plan = _plan(queries()["b8_run_parameter"](spark, SMOKE))
+    below = plan[plan.index("Window"):]
+    moved = below[below.index("Exchange hashpartitioning(installment_id"):].splitlines()[1]
+    assert "installment_status" in moved
+    assert not any(c in moved for c in ("full_name", "city", "segment", "total_due", "product_type"))
+
+
+def test_lines_move_as_what_is_summed(spark):
+    lines = spark.createDataFrame([], LINES)
+    for df in (installments_from_tpch(lines), payments_from_tpch(lines)):
+        moved = df._jdf.queryExecution().optimizedPlan()
+        while moved.nodeName() != "RepartitionByExpression":
+            moved = moved.children().head()
+        names = {moved.output().apply(i).name() for i in range(moved.output().size())}
+        assert not names & {"l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "installment_id"}
+
+
 def test_mart_statistics_sum_the_summary(spark):
     class Staged:
         customers = spark.createDataFrame([(True,), (False,)], "is_valid boolean")

@@ -142,3 +142,48 @@ def test_both_collections_plans_agree(raw):
     assert set(cols) <= set(staged.columns)  # the star join also carries customer_id
     assert _rows(staged.select(*cols)) == _rows(lean.select(*cols))
     assert {r.payment_id for r in lean.collect()} == {"P1", "P2", "P3", "P4", "P5", "P6"}
+
+
+def test_payments_meet_copied_installments_in_every_plan_alike(spark):
+    day, due = dt.date(2024, 12, 31), dt.date(2024, 6, 1)
+
+    def line(id_, loan, number=1, total=100):
+        return (id_, loan, number, due, D(total), D("1.00"), "DUE")
+
+    def paid_(n, loan, id_, amount, status="CONFIRMED"):
+        return (f"P{n}", loan, id_, dt.date(2024, 6, n), D(amount), "PSE", status, None)
+
+    raw = literal_inputs(
+        spark,
+        customers=[("C1", "Ana", "bogota", "SME", D("10.00"), None), ("C1", "Eva", "cali", "SME", D("11.00"), None)],
+        loans=[(f"L{i}", "C1" if i < 5 else "C9", dt.date(2024, 1, i), D("1000.00"), D("0.240000"), 12, "ACTIVE", "SME")
+               for i in (1, 2, 2, 3, 5)],
+        installments=[
+            line("I1", "L1"), line("I1", "L1"),  # the same row twice
+            line("I2", "L1"), line("I2", "L2", total=200), line("I2", "L5"),  # copies in other loans, one not valid
+            line("I3", "L3"), line("I4", "L3", number=13), line("I5", None), line(None, "L3"), line("I6", "L3"),
+        ],
+        payments=[
+            paid_(1, "L1", "I1", "5.00"), paid_(2, None, "I1", "6.00"), paid_(3, "L2", "I1", "7.00"),
+            paid_(4, "L1", "I2", "8.00"), paid_(5, "L2", "I2", "9.00"), paid_(6, "L2", "I2", "9.50"), paid_(7, "L5", "I2", "1.00"),
+            paid_(8, None, "I3", "2.00"), paid_(9, "L3", "I4", "3.00"), paid_(10, None, None, "4.00"), paid_(11, "L1", "I6", "4.00"),
+            paid_(12, "L3", "I3", "2.50", "REVERSED"), paid_(13, "L2", "I1", "7.00"),
+        ],
+    )
+    settings = Settings(analysis_date=day, segments=("SME",))
+    s = stage(raw, settings)
+    args = (raw.customers, raw.loans, raw.installments, raw.payments, day, ("SME",))
+    plans = [
+        marts.dm_cartera(s.customers, s.loans, s.installments, s.payments, day),
+        marts.dm_cartera_from_inputs(*args),
+        marts.dm_cartera_by_loan(*args),
+    ]
+    rows = [sorted(map(repr, df.collect())) for df in plans]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 6
+    paid = sorted((r.installment_id, r.loan_id, str(r.total_paid), r.num_payments, r.last_payment_date and r.last_payment_date.day)
+                  for r in plans[2].collect())
+    assert paid == [
+        ("I1", "L1", "11.00", 2, 2), ("I1", "L1", "11.00", 2, 2), ("I2", "L1", "18.50", 2, 6),
+        ("I2", "L2", "18.50", 2, 6), ("I3", "L3", "2.00", 1, 8), ("I6", "L3", "0.00", 0, None),
+    ]
+    assert plans[2].dtypes == plans[1].dtypes
