@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendlake import constants as K
@@ -129,11 +129,15 @@ def q04_top_arrears(summary: DataFrame, k: int = TOP_K) -> DataFrame:
     )
 
 
-def q05_bi_dataset(bi: DataFrame) -> DataFrame:
-    """The wide BI extract with business names, latest origination first."""
-    return bi.orderBy(
-        F.col("origination_date").desc(), F.col("loan_id").asc(), F.col("installment_number").asc()
-    ).select(
+def bi_order() -> list[Column]:
+    """Latest origination first."""
+    return [F.col("origination_date").desc(), F.col("loan_id").asc(), F.col("installment_number").asc()]
+
+
+def q05_bi_dataset(bi: DataFrame, in_order: bool = False) -> DataFrame:
+    """The wide BI extract with business names, latest origination first. A ``bi``
+    made from rows ``in_order`` isn't sorted again."""
+    return (bi if in_order else bi.orderBy(*bi_order())).select(
         F.col("analysis_date").alias("fecha_analisis"),
         F.col("origination_date").alias("fecha_desembolso"),
         F.col("cohort_label").alias("cohorte_originacion"),

@@ -121,6 +121,12 @@ class Ctx:
     def bi(self) -> DataFrame:
         return views.vw_bi_completo(self.mart_by_loan)
 
+    @cached_property
+    def bi_in_order(self) -> DataFrame:
+        """Sorted as q05 wants it while the rows are narrow: their labels, ageing,
+        rates and balances are made after the sort."""
+        return views.vw_bi_completo(self._cartera(marts.dm_cartera_by_loan, order=questions.bi_order()))
+
 
 def query(name: str, store_staging: bool = False):
     """Register ``fn(ctx) -> DataFrame`` under ``name``."""
@@ -157,7 +163,7 @@ query("q02_recaudo_diario")(lambda c: questions.q02_collections_by_day(c.collect
 query("q03_cartera_por_cohorte")(lambda c: questions.q03_cohort_health(c.mart_by_loan))
 query("q03_principal_distinct")(lambda c: questions.q03_principal_per_cohort(c.summary))
 query("q04_top_atraso")(lambda c: questions.q04_top_arrears(c.summary))
-query("q05_dataset_bi")(lambda c: questions.q05_bi_dataset(c.bi))
+query("q05_dataset_bi")(lambda c: questions.q05_bi_dataset(c.bi_in_order, in_order=True))
 
 
 def queries() -> dict[str, QueryFn]:

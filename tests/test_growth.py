@@ -74,6 +74,17 @@ def test_the_summary_needs_no_exchange_after_the_mart(spark, without_broadcasts)
     assert exchanges(qs["b8_run_parameter"](spark, SMOKE)) <= exchanges(qs["a6_dm_cartera"](spark, SMOKE))
 
 
+def test_the_extract_is_sorted_before_columns_are_derived(spark):
+    plan = queries()["q05_dataset_bi"](spark, SMOKE)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Sort":
+        assert plan.children().size() == 1
+        plan = plan.children().head()
+    moved = {plan.output().apply(i).name() for i in range(plan.output().size())}
+    derived = {"cohort_label", "mes_vencimiento", "mora_bucket", "is_overdue", "days_overdue", "analysis_date",
+               "balance_due", "pct_cobrado", "annual_rate_pct", "total_due", "cuota_pagada_completa"}
+    assert "installment_id" in moved and not moved & derived
+
+
 def test_installments_move_without_their_loan_or_totals(spark, without_broadcasts):  # noqa: F811
     plan = _plan(queries()["b8_run_parameter"](spark, SMOKE))
     below = plan[plan.index("Window"):]
