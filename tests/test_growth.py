@@ -85,6 +85,11 @@ def test_the_extract_is_sorted_before_columns_are_derived(spark):
     assert "installment_id" in moved and not moved & derived
 
 
+def test_the_extract_comes_in_order(spark):
+    rows = [(r.fecha_desembolso, r.id_credito, r.numero_cuota) for r in queries()["q05_dataset_bi"](spark, SMOKE).collect()]
+    assert rows and rows == sorted(rows, key=lambda r: (-r[0].toordinal(), *r[1:]))
+
+
 def test_installments_move_without_their_loan_or_totals(spark, without_broadcasts):  # noqa: F811
     plan = _plan(queries()["b8_run_parameter"](spark, SMOKE))
     below = plan[plan.index("Window"):]
