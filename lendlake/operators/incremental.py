@@ -103,14 +103,17 @@ def partition_folders(values: DataFrame, partition_col: str) -> list[str]:
     return [names.getPartitionPathString(partition_col, r[0]) for r in rows]
 
 
-def rebuild_partitions(mart: DataFrame, touched: DataFrame, table: VersionedTable, base: int | None = None) -> int:
+def rebuild_partitions(
+    mart: DataFrame, touched: DataFrame, table: VersionedTable, base: int | None = None, dealt: bool = False
+) -> int:
     """K3: a new version of a partitioned mart table in which only the touched
     partitions are written; all others keep their files.
 
     Touched partitions with rows hold those of ``mart``, those left without rows are
     gone, and nothing changes for readers before the new version is there. Rows are
     rebalanced by partition first, so a partition is a few files of bounded size and a
-    large one is split among tasks. A touched NULL partition is rebuilt too.
+    large one is split among tasks; a ``dealt`` mart, read from a table stored by the
+    same partitions, lies so already and is written as it is read. A touched NULL partition is rebuilt too.
     ``touched`` must come from the keys of the old and the new mart, or partitions
     that the increment empties or adds are missed. Store the mart's facts (``marts.
     cartera_facts``), not its ageing columns: those follow the date of the reader.
@@ -118,5 +121,6 @@ def rebuild_partitions(mart: DataFrame, touched: DataFrame, table: VersionedTabl
     base = table.version() if base is None else base
     partition_col = table.manifest(base)["partition_by"]
     same = mart[partition_col].eqNullSafe(touched[partition_col])
-    rows = mart.join(touched, same, "left_semi")
-    return table.replace_parts(rows, partition_folders(touched, partition_col), base)
+    # No more values than the manifest names partitions: the mart needn't move to meet them.
+    rows = mart.join(F.broadcast(touched), same, "left_semi")
+    return table.replace_parts(rows, partition_folders(touched, partition_col), base, dealt=dealt)

@@ -137,6 +137,16 @@ def dm_cartera(
     return as_of(cartera_facts(customers, loans, installments, payments), analysis_date)
 
 
+#: Ending of the columns that hold what the payments after a mark add.
+LATER = "_later"
+#: Totals of all payments: no condition, no ending.
+ALL_PAYMENTS: dict[str, Column | None] = {"": None}
+
+
+def _plus(a: str, b: str) -> Column:
+    return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+
+
 class InputParts:
     """Building blocks of the single-pass plans over the canonical inputs.
 
@@ -198,14 +208,23 @@ class InputParts:
             )
         )
 
-    def _paid(self, *keys: str, payments: DataFrame | None = None) -> DataFrame:
-        return (self.payments if payments is None else payments).groupBy(*keys).agg(
-            F.sum("payment_amount").cast(K.MONEY_SUM).alias("_paid"),
-            F.max("payment_date").alias("_last"),
-            F.count(F.lit(1)).alias("_n"),
-        )
+    def _paid(
+        self, *keys: str, payments: DataFrame | None = None, states: dict[str, Column | None] = ALL_PAYMENTS
+    ) -> DataFrame:
+        def of(state: Column | None, value: Column) -> Column:
+            return value if state is None else F.when(state, value)
+
+        return (self.payments if payments is None else payments).groupBy(*keys).agg(*[
+            total
+            for end, state in states.items()
+            for total in (
+                F.sum(of(state, F.col("payment_amount"))).cast(K.MONEY_SUM).alias(f"_paid{end}"),
+                F.max(of(state, F.col("payment_date"))).alias(f"_last{end}"),
+                F.count(of(state, F.lit(1))).alias(f"_n{end}"),
+            )
+        ])
 
-    def paid_installments(self) -> DataFrame:
+    def paid_installments(self, until: Column | None = None) -> DataFrame:
         """Valid, normal installments of valid loans with what was paid, dealt by loan.
 
         They move by installment with no more than their own columns: the total is
@@ -213,7 +232,14 @@ class InputParts:
         that payments of an installment must name is found among its copies by a window
         over the rows the payments are joined to; those that name it and those that
         name none are summed and joined apart, so each row meets at most one of either.
+
+        With ``until``, a condition on payments, the totals are of those that meet it,
+        and columns ending in ``LATER`` hold what the others add.
         """
+        states = ALL_PAYMENTS
+        if until is not None:
+            met = F.coalesce(until, F.lit(False))
+            states = {"": met, LATER: ~met}
         terms = self.loans.select("loan_id", "term_months")
         normal = self.installments.drop("total_due").join(terms, "loan_id", "inner").where(
             ~self.beyond_term(F.col("installment_number"), F.col("term_months"))
@@ -221,23 +247,26 @@ class InputParts:
         copies = Window.partitionBy("installment_id")
         inst = normal.withColumn("_inst_loan", F.max("loan_id").over(copies))
         named = self._paid(
-            "installment_id", "loan_id", payments=self.payments.where(F.col("loan_id").isNotNull())
+            "installment_id", "loan_id", payments=self.payments.where(F.col("loan_id").isNotNull()), states=states
         ).withColumnsRenamed({"installment_id": "_inst_id", "loan_id": "_pay_loan"})
         unnamed = self._paid(
-            "installment_id", payments=self.payments.where(F.col("loan_id").isNull())
-        ).withColumnsRenamed({"_paid": "_paid_0", "_last": "_last_0", "_n": "_n_0"})
+            "installment_id", payments=self.payments.where(F.col("loan_id").isNull()), states=states
+        ).withColumnsRenamed({f"{c}{end}": f"{c}{end}_0" for c in ("_paid", "_last", "_n") for end in states})
         # Two inequalities stay a condition of the join; as a join key the loan would
         # move the installments once more.
         same_loan = F.col("_pay_loan").between(F.col("_inst_loan"), F.col("_inst_loan"))
         j = inst.join(named, (F.col("installment_id") == F.col("_inst_id")) & same_loan, "left")
         j = j.join(unnamed, "installment_id", "left")
-        zero = F.lit(0)
-        paid = j.select(
-            *normal.columns,
-            (F.coalesce("_paid", zero) + F.coalesce("_paid_0", zero)).cast(K.MONEY_SUM).alias("total_paid"),
-            F.greatest("_last", "_last_0").alias("last_payment_date"),
-            (F.coalesce("_n", zero) + F.coalesce("_n_0", zero)).alias("num_payments"),
-        )
+        totals = [
+            total
+            for end in states
+            for total in (
+                _plus(f"_paid{end}", f"_paid{end}_0").cast(K.MONEY_SUM).alias(f"total_paid{end}"),
+                F.greatest(f"_last{end}", f"_last{end}_0").alias(f"last_payment_date{end}"),
+                _plus(f"_n{end}", f"_n{end}_0").alias(f"num_payments{end}"),
+            )
+        ]
+        paid = j.select(*normal.columns, *totals)
         return paid.join(self.loans, "loan_id", "inner")
 
 
@@ -283,6 +312,39 @@ def dm_cartera_by_loan(
     return as_of(_fact_columns(j.withColumn("total_due", total_due())), analysis_date)
 
 
+def cartera_in_two_states(
+    customers: DataFrame,
+    loans: DataFrame,
+    installments: DataFrame,
+    payments: DataFrame,
+    until: Column,
+    segments=K.SEGMENTS,
+) -> DataFrame:
+    """What the facts of two marts are made from, in one pass over the inputs: the mart
+    of the payments that meet ``until`` and that of all payments. Both have the same
+    installments and loans, so their rows are moved and stored once, each with its
+    totals up to the mark and, apart, what later payments add. ``facts_until`` and
+    ``facts_of_all`` read the marts' facts off these rows, derived columns included.
+    """
+    return InputParts(customers, loans, installments, payments, segments).paid_installments(until)
+
+
+def facts_until(states: DataFrame) -> DataFrame:
+    """The facts from the payments up to the mark of ``cartera_in_two_states``."""
+    from lendlake.operators.staging import total_due
+
+    return _fact_columns(states.withColumn("total_due", total_due()))
+
+
+def facts_of_all(states: DataFrame) -> DataFrame:
+    """The facts from all payments of ``cartera_in_two_states``."""
+    return facts_until(states.withColumns({
+        "total_paid": _plus("total_paid", f"total_paid{LATER}").cast(K.MONEY_SUM),
+        "last_payment_date": F.greatest("last_payment_date", f"last_payment_date{LATER}"),
+        "num_payments": _plus("num_payments", f"num_payments{LATER}"),
+    }))
+
+
 def _fact_columns(j: DataFrame) -> DataFrame:
     total_paid = F.coalesce(F.col("total_paid"), F.lit(0)).cast(K.MONEY_SUM)
     made = {

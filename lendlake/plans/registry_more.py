@@ -24,9 +24,10 @@ from lendlake.operators import quality as qc
 from lendlake.operators import views
 from lendlake.operators.keys import displaced, key_set, one_per_key
 from lendlake.operators.marts import (
-    FACT_COLUMNS,
     arrears_sums,
-    dm_cartera_from_inputs,
+    cartera_in_two_states,
+    facts_of_all,
+    facts_until,
     payments_per_installment,
 )
 from lendlake.operators.marts import as_of as mart_as_of
@@ -525,17 +526,23 @@ def _k3r(c: Ctx):
     """The mart's facts as of the mark, stored by cohort, with the cohorts touched
     by the later payments rebuilt; read back whole as of the analysis date."""
     raw, mark = c.raw, inc.as_mark(PAYMENTS_MARK)
-    before = dm_cartera_from_inputs(
-        raw.customers, raw.loans, raw.installments, raw.payments.where(F.col("loaded_at") <= mark),
-        TEST_SETTINGS.analysis_date, TEST_SETTINGS.segments,
+    # Both marts come from one pass whose rows move to their cohorts once: what is
+    # written from the stored rows, the first version and the rebuilt cohorts, stays there.
+    states = _scratch_table(c, "cartera_states")
+    states.replace(
+        cartera_in_two_states(
+            raw.customers, raw.loans, raw.installments, raw.payments,
+            F.col("loaded_at") <= mark, TEST_SETTINGS.segments,
+        ),
+        "cohort_month",
     )
     table = _scratch_table(c, "cartera_facts")
-    table.replace(before.select(*FACT_COLUMNS), "cohort_month")
-    # The whole mart is made once: the touched cohorts are found and rebuilt from it.
-    facts = stored("cartera_facts", c.mart_by_loan.select(*FACT_COLUMNS))
+    table.write_parts(facts_until(states.read()), "cohort_month").commit()
+    facts = facts_of_all(states.read())
     new = inc.new_rows(raw.payments, "loaded_at", PAYMENTS_MARK)
     touched = inc.touched_partitions(facts, new, "installment_id", "cohort_month")
-    inc.rebuild_partitions(facts, stored("touched_cohorts", touched), table)
+    inc.rebuild_partitions(facts, stored("touched_cohorts", touched), table, None, True)
+    states.drop()
     return mart_as_of(table.read(), TEST_SETTINGS.analysis_date)
 
 

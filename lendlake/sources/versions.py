@@ -121,15 +121,17 @@ class VersionedTable:
             self.data, f"{_COMMIT}={commit}"
         )
 
-    def _write(self, df: DataFrame, partition_by: str | None) -> dict[str, str]:
-        """Write one commit's files; the folders that it filled."""
+    def _write(self, df: DataFrame, partition_by: str | None, dealt: bool = False) -> dict[str, str]:
+        """Write one commit's files; the folders that it filled. Rows that are ``dealt``
+        lie by partition already and stay in their tasks."""
         commit = uuid.uuid4().hex
         path = self.folder(commit)
         if partition_by is None:
             df.write.parquet(path)
             return {"": commit}
         # A few files of bounded size a partition, a large one split among tasks.
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        rows = df if dealt else df.hint("rebalance", partition_by)
+        rows.write.partitionBy(partition_by).parquet(path)
         return {n: commit for n in self.log.files.names(path) if "=" in n}
 
     def write_parts(self, df: DataFrame, partition_by: str) -> Written:
@@ -154,19 +156,24 @@ class VersionedTable:
         return self._commit(df.schema, partition_by, self._write(df, partition_by), properties)
 
     def replace_parts(
-        self, df: DataFrame, touched: Iterable[str], base: int, properties: dict | None = None
+        self, df: DataFrame, touched: Iterable[str], base: int, properties: dict | None = None, dealt: bool = False
     ) -> int:
         """A new version in which the touched partition folders hold the rows of
         ``df`` (none: the partition is gone) and all others are those of version
-        ``base``. Rows of ``df`` outside the touched partitions are an error."""
+        ``base``. Rows of ``df`` outside the touched partitions are an error. Rows read
+        from files of the same partitions are ``dealt`` and move no more."""
         old = self.log.get(base)
-        written = self._write(df.select(*StructType.fromJson(old["schema"]).names), old["partition_by"])
+        written = self._write(df.select(*StructType.fromJson(old["schema"]).names), old["partition_by"], dealt)
         touched = set(touched)
         if not written.keys() <= touched:
             raise ValueError(f"rows outside the touched partitions: {sorted(written.keys() - touched)[:5]}")
         kept = {p: c for p, c in old["parts"].items() if p not in touched}
         return self._commit(StructType.fromJson(old["schema"]), old["partition_by"], kept | written, properties)
 
+    def drop(self) -> None:
+        """Remove the table with all its versions."""
+        self.log.files.delete(self.path)
+
     def expire(self, keep: int = 2, pinned: Iterable[int] = ()) -> list[int]:
         """Remove all but the last ``keep`` versions and the pinned ones, with the
         files that only they name. Files of writes that never became a version

@@ -4,12 +4,16 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lendlake.operators import quality
+from lendlake.operators import incremental as inc
+from lendlake.operators import marts, quality
 from lendlake.plans import registry_more
 from lendlake.plans.registry import queries
 from lendlake.sources.adapters import installments_from_tpch, payments_from_tpch
+from lendlake.sources.raw import literal_inputs
+from lendlake.sources.versions import VersionedTable
 from tests.conftest import SMOKE
 from tests.test_bucketed import exchanges, without_broadcasts  # noqa: F401
+from tests.test_rules import cust, inst, loan, pay
 
 LINES = (
     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, "
@@ -49,6 +53,105 @@ def test_the_rebuilt_mart_reads_stored_facts(spark, monkeypatch):
         assert "lineitem" not in _plan(df) and "Join" not in _plan(df)
 
 
+def test_the_rebuilt_mart_moves_to_its_cohorts_once(spark, monkeypatch, tmp_path):
+    moves, kept = [], spark.conf.get("lendlake.warehouse", None)
+    write, as_dealt = VersionedTable._write, VersionedTable.write_parts
+
+    def seen(df, dealt):
+        moves.append((dealt, "lineitem" in _plan(df), exchanges(df)))
+
+    monkeypatch.setattr(VersionedTable, "_write", lambda t, df, by, dealt=False: (
+        seen(df, dealt), write(t, df, by, dealt))[1])
+    monkeypatch.setattr(VersionedTable, "write_parts", lambda t, df, by: (seen(df, True), as_dealt(t, df, by))[1])
+    spark.conf.set("lendlake.warehouse", str(tmp_path))
+    try:
+        mart = queries()["k3_rebuilt_mart"](spark, SMOKE)
+    finally:
+        spark.conf.set("lendlake.warehouse", kept) if kept else spark.conf.unset("lendlake.warehouse")
+    # Both states of the mart; then the first version and the rebuilt cohorts, from stored rows.
+    assert [m[:2] for m in moves] == [(False, True), (True, False), (True, False)]
+    assert moves[1][2] == 0 and mart.count() > 0
+    # The rows of both states are not kept beside the two versions of the mart.
+    assert not list(tmp_path.glob("cartera_states-*")) and len(list(tmp_path.glob("cartera_facts-*/versions/*.json"))) == 2
+
+
+JAN, FEB, MAR = (dt.date(2025, m, 15) for m in (1, 2, 3))
+EARLY, LATE = dt.datetime(1998, 12, 31), dt.datetime(1999, 1, 2)
+MARK = dt.datetime(1999, 1, 1)
+
+
+def _inputs_around_the_mark(spark):
+    """Loans of three cohorts and of none; payments before, at and after the mark, and without a load time."""
+    loans = [loan(f"L{i}")[:2] + (day,) + loan("")[3:] for i, day in enumerate((JAN, FEB, MAR, None), 1)]
+    return literal_inputs(
+        spark,
+        customers=[cust("C1", segment="BUILDING"), cust("C9", segment="FURNITURE")],
+        loans=[*loans, loans[0], ("L5", "C9", *loans[0][2:])],
+        installments=[
+            inst("I1", lid="L1"), inst("I2", lid="L1", number=2), inst("I3", lid="L2"), inst("I3", lid="L2"),
+            inst("I4", lid="L3"), inst("I5", lid="L4"), inst("I6", lid="L4", number=13), inst("I7", lid="L5"),
+            inst("I8", lid="L1", number=3), inst("I8", lid="L2", number=3),
+        ],
+        payments=[
+            pay("P1", "L1", "I1", loaded=EARLY), pay("P2", "L1", "I1", loaded=LATE, date=MAR), pay("P3", None, "I1", loaded=LATE),
+            pay("P4", None, "I1", loaded=MARK), pay("P5", "L1", "I2", loaded=None), pay("P6", "L2", "I3", loaded=None),
+            pay("P7", "L2", "I3", loaded=EARLY), pay("P8", "L3", "I4", loaded=None), pay("P9", "L3", "I4", loaded=EARLY),
+            pay("P10", "L4", "I5", loaded=LATE), pay("P11", "L1", "I5", loaded=LATE), pay("P12", "L4", "I6", loaded=LATE),
+            pay("P13", "L1", "I8", loaded=LATE), pay("P14", "L2", "I8", loaded=EARLY), pay("P15", "L2", "I8", loaded=None),
+            pay("P16", "L3", "I4", status="REVERSED", loaded=EARLY), pay("P17", "L5", "I7", loaded=LATE),
+        ],
+    )
+
+
+def test_two_states_of_the_mart_from_one_pass(spark):
+    raw = _inputs_around_the_mark(spark)
+    until = F.col("loaded_at") <= inc.as_mark(MARK)
+    parents, accepted = (raw.customers, raw.loans, raw.installments), ("BUILDING",)
+    states = marts.cartera_in_two_states(*parents, raw.payments, until, accepted)
+    for facts, payments in (
+        (marts.facts_until(states), raw.payments.where(until)), (marts.facts_of_all(states), raw.payments)
+    ):
+        for build in (marts.dm_cartera_from_inputs, marts.dm_cartera_by_loan):
+            want = build(*parents, payments, MAR, accepted).select(*marts.FACT_COLUMNS)
+            assert sorted(map(repr, facts.collect())) == sorted(map(repr, want.collect()))
+            assert facts.dtypes == want.dtypes
+    assert facts.count() == 8
+
+
+def test_only_cohorts_with_later_payments_are_rebuilt(spark):
+    class Inputs:
+        raw = _inputs_around_the_mark(spark)
+
+    Inputs.spark = spark
+    raw = Inputs.raw
+    until = F.col("loaded_at") <= inc.as_mark(MARK)
+    before, after = (
+        marts.dm_cartera_from_inputs(raw.customers, raw.loans, raw.installments, p, "1999-06-30", ("BUILDING",))
+        for p in (raw.payments.where(until), raw.payments)
+    )
+    # The cohort of March has no payment after the mark, but one without a load time.
+    march = F.coalesce(F.col("cohort_month") == MAR.replace(day=1), F.lit(False))
+    want = before.where(march).union(after.where(~march))
+    assert before.exceptAll(after).where(march).count() == 1
+    got = registry_more._k3r(Inputs)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_dealt_cohorts_are_written_as_they_are_read(spark, tmp_path):
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 4 < 3, F.col("id") % 4).alias("p")).repartition(8)
+    source, table = (VersionedTable(spark, str(tmp_path / n)) for n in ("source", "table"))
+    source.replace(rows, "p")
+    table.write_parts(source.read(), "p").commit()
+    new = source.read().withColumn("id", -F.col("id"))
+    touched = spark.createDataFrame([(None,), (1,), (7,)], "p long")
+    inc.rebuild_partitions(new, touched, table, None, True)
+    got = {(r.id, r.p) for r in table.read().collect()}
+    assert got == {(-r.id if r.p in (None, 1) else r.id, r.p) for r in rows.collect()}
+    assert len(list((tmp_path / "table").rglob("*.parquet"))) <= 4 + 2
+    source.drop()
+    assert source.version() is None and table.read().count() == 1000
+
+
 def test_upserted_batches_are_scans_of_stored_payments(spark, monkeypatch):
     seen = []
     merge = registry_more.merge_into
