@@ -537,7 +537,7 @@ def _k3r(c: Ctx):
         "cohort_month",
     )
     table = _scratch_table(c, "cartera_facts")
-    table.write_parts(facts_until(states.read()), "cohort_month").commit()
+    table.replace(facts_until(states.read()), "cohort_month", dealt=True)
     facts = facts_of_all(states.read())
     new = inc.new_rows(raw.payments, "loaded_at", PAYMENTS_MARK)
     touched = inc.touched_partitions(facts, new, "installment_id", "cohort_month")

@@ -20,7 +20,8 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,20 @@ from lendlake.sources.files import Conflict, Files
 __all__ = ["Conflict", "ManifestLog", "VersionedTable"]
 
 _COMMIT = "lake_commit"
+_SPLITS = "spark.sql.files.maxPartitionBytes"
+_DEALT_SPLIT = 32 * 1024 * 1024
+
+
+@contextmanager
+def _small_splits(spark: SparkSession) -> Iterator[None]:
+    """Files are read in small splits. A partitioned write sorts each task's rows by
+    partition, some ten times their Parquet bytes: small splits are sorted in memory."""
+    set_before = spark.conf.get(_SPLITS)
+    spark.conf.set(_SPLITS, str(_DEALT_SPLIT))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SPLITS, set_before)
 
 
 class ManifestLog:
@@ -130,8 +145,11 @@ class VersionedTable:
             df.write.parquet(path)
             return {"": commit}
         # A few files of bounded size a partition, a large one split among tasks.
-        rows = df if dealt else df.hint("rebalance", partition_by)
-        rows.write.partitionBy(partition_by).parquet(path)
+        if dealt:
+            with _small_splits(self.spark):
+                df.write.partitionBy(partition_by).parquet(path)
+        else:
+            df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
         return {n: commit for n in self.log.files.names(path) if "=" in n}
 
     def write_parts(self, df: DataFrame, partition_by: str) -> Written:
@@ -151,9 +169,11 @@ class VersionedTable:
         }
         return self.log.append(0 if last is None else last + 1, document)
 
-    def replace(self, df: DataFrame, partition_by: str | None = None, properties: dict | None = None) -> int:
+    def replace(
+        self, df: DataFrame, partition_by: str | None = None, properties: dict | None = None, dealt: bool = False
+    ) -> int:
         """CREATE OR REPLACE TABLE AS: a new version holding ``df`` alone."""
-        return self._commit(df.schema, partition_by, self._write(df, partition_by), properties)
+        return self._commit(df.schema, partition_by, self._write(df, partition_by, dealt), properties)
 
     def replace_parts(
         self, df: DataFrame, touched: Iterable[str], base: int, properties: dict | None = None, dealt: bool = False

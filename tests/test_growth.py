@@ -141,7 +141,9 @@ def test_dealt_cohorts_are_written_as_they_are_read(spark, tmp_path):
     rows = spark.range(1000).select("id", F.when(F.col("id") % 4 < 3, F.col("id") % 4).alias("p")).repartition(8)
     source, table = (VersionedTable(spark, str(tmp_path / n)) for n in ("source", "table"))
     source.replace(rows, "p")
-    table.write_parts(source.read(), "p").commit()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    table.replace(source.read(), "p", dealt=True)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     new = source.read().withColumn("id", -F.col("id"))
     touched = spark.createDataFrame([(None,), (1,), (7,)], "p long")
     inc.rebuild_partitions(new, touched, table, None, True)
